@@ -57,8 +57,9 @@ def _div_half_up(numerator: Column, denominator: Column) -> Column:
 
 
 def mean_cents(total: Column, n: Column) -> Column:
-    """Average of non-negative money, rounded half up to cents."""
-    return _div_half_up(total * 100, n) / F.lit(100.0)
+    """Average of money, rounded to cents with halves away from zero."""
+    size = _div_half_up(F.abs(total) * 100, n) / F.lit(100.0)
+    return F.when(total < 0, -size).otherwise(size)
 
 
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:

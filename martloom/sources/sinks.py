@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 LAYERS = ("bronze", "silver", "gold", "ml", "genai", "quality", "monitoring", "metrics", "realtime")
 RUN_SCHEMA = (
-    "run_id string, step string, layer string, status string, rows_written long, start_time timestamp,"
+    "run_id string, notebook string, layer string, status string, rows_written long, start_time timestamp,"
     " end_time timestamp, duration_seconds double, project_version string, environment string, error_message string"
 )
 

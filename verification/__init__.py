@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("tables", "quality")
+MODULES = ("tables", "quality", "states", "assistant")
 
 
 def registries():
