@@ -1,8 +1,7 @@
 """Incremental order stream: files -> bronze -> silver (latest per order) -> minute KPIs.
 
-Plain Parquet has no MERGE, so an upsert rewrites the hours it touches: the
-merged hours are written to the shared scratch folder first and then replace
-exactly those partitions. Each step gives the same tables when a batch is run
+Plain Parquet has no MERGE, so an upsert rewrites the time slots it touches and
+no others. Each step gives the same tables when a batch is run
 again, which is what the stream does after a failure.
 """
 
@@ -12,13 +11,12 @@ import datetime as dt
 import time
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from martloom.functions import money as m
 from martloom.functions.dates import minute
 from martloom.operators.windows import latest_by_key
-from martloom.session import configure, materialize
+from martloom.session import configure, delete_path, materialize, path_exists
 from martloom.sources.sinks import insert_absent, upsert_rows
 from martloom.streaming.events import EVENT_SCHEMA, event_stream
 
@@ -27,11 +25,11 @@ BRONZE_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("_ingestion_ts
 SILVER_SCHEMA = (
     "order_id string, customer_id string, store_id string, event_time timestamp, channel string, order_total double,"
     " discount_amount double, tax_amount double, net_revenue double, order_status string, source string,"
-    " _microbatch_id long, _processed_at timestamp, event_hour string"
+    " _microbatch_id long, _processed_at timestamp, event_slot string"
 )
 GOLD_SCHEMA = (
     "event_minute timestamp, channel string, order_count long, unique_customers long, gross_sales double,"
-    " discounts double, revenue double, avg_order_value double, last_updated timestamp, event_hour string"
+    " discounts double, revenue double, avg_order_value double, last_updated timestamp, event_slot string"
 )
 KEY_SCHEMA = "event_minute timestamp, channel string"
 METRIC_SCHEMA = (
@@ -41,25 +39,28 @@ METRIC_SCHEMA = (
 )
 
 
-def hour(ts) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd-HH")
+# Size of a rewritten partition: days by default, hours for streams with very many orders per day.
+SLOTS = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
+
+
+def slot(ts, grain: str = "day") -> Column:
+    return F.date_format(ts, SLOTS[grain])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
-def silver_orders(events: DataFrame, processed_at: Column) -> DataFrame:
+def silver_orders(events: DataFrame, processed_at: Column, grain: str = "day") -> DataFrame:
     """One row per order: its latest event in the batch."""
     latest = latest_by_key(events, "order_id", ["event_time", "event_id"])
     net = m.money(m.money("order_total") - m.money("discount_amount"))
     return latest.select(
         "order_id", "customer_id", "store_id", "event_time", "channel", "order_total", "discount_amount", "tax_amount",
         net.cast("double").alias("net_revenue"), F.col("status").alias("order_status"), "source", "_microbatch_id",
-        processed_at.alias("_processed_at"), hour("event_time").alias("event_hour"),
+        processed_at.alias("_processed_at"), slot("event_time", grain).alias("event_slot"),
     )
 
 
@@ -91,22 +92,22 @@ def touched_keys(accepted: DataFrame, stored: DataFrame) -> DataFrame:
     return keys[0].unionAll(keys[1]).distinct()
 
 
-def hours_of(df: DataFrame, column: str = "event_hour") -> list[str]:
-    """Distinct hours of a batch: partition names, not data."""
+def slots_of(df: DataFrame, column: str = "event_slot") -> list[str]:
+    """Distinct slots of a batch: partition names, not data."""
     return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
 
 
-def replace_hours(spark: SparkSession, merged: DataFrame, path: str, hours: list[str], label: str) -> None:
-    """Put the merged rows in place of the given hours, and drop the hours that became empty."""
-    staged = materialize(merged, label)
-    filled = set(hours_of(staged))
-    staged.repartition("event_hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "event_hour"
-    ).parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for empty in set(hours) - filled:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"event_hour={empty}"), True)
+def replace_slots(spark: SparkSession, merged: DataFrame, path: str, slots: list[str]) -> None:
+    """Put the merged rows in place of the given slots, and drop the slots that became empty.
+
+    The old files of a slot are removed only when the job that read them commits.
+    """
+    seen = Observation()
+    # rebalancing gathers a slot into few files but still splits a slot that is too large for one task
+    rows = merged.hint("rebalance", "event_slot").observe(seen, F.collect_set("event_slot").alias("filled"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_slot").parquet(path)
+    for name in set(slots) - set(seen.get["filled"]):
+        delete_path(spark, f"{path}/event_slot={name}")
 
 
 @dataclass
@@ -116,6 +117,7 @@ class LiveSales:
     spark: SparkSession
     root: str
     stream_name: str = "retail_orders_available_now"
+    grain: str = "day"
     paths: dict[str, str] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -175,44 +177,48 @@ class LiveSales:
     def _add_to_bronze(self, staged: DataFrame, batch_id: int) -> int:
         # the batch owns its partition, so running it again replaces its own rows only
         before = self.bronze().where(F.col("_microbatch_id") != batch_id)
-        fresh = materialize(insert_absent(before, staged, "event_id"), "bronze")
+        seen = Observation()
+        fresh = insert_absent(before, staged, "event_id").observe(seen, F.count(F.lit(1)).alias("rows"))
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_microbatch_id").parquet(
             self.paths["bronze"]
         )
-        return fresh.count()
+        return seen.get["rows"]
 
     def _update_silver_and_gold(self, staged: DataFrame, batch_id: int) -> int:
-        rows = materialize(silver_orders(staged, F.current_timestamp()), "orders")
+        rows = materialize(silver_orders(staged, F.current_timestamp(), self.grain), "orders")
         silver = self.silver()
         stored = materialize(silver.join(rows.select("order_id"), "order_id", "left_semi").select(*silver.columns), "stored")
-        accepted = materialize(accepted_rows(rows, stored), "accepted")
+        seen = Observation()
+        accepted = materialize(accepted_rows(rows, stored).observe(seen, F.count(F.lit(1)).alias("rows")), "accepted")
         keys = self._remember_keys(touched_keys(accepted, stored), batch_id)
         superseded = stored.join(accepted.select("order_id"), "order_id", "left_semi")
-        hours = sorted({*hours_of(accepted), *hours_of(superseded)})
-        if hours:
-            target = silver.where(F.col("event_hour").isin(hours))
-            replace_hours(self.spark, upsert_rows(target, accepted, ["order_id"]), self.paths["silver"], hours, "silver")
+        slots = slots_of(accepted.select("event_slot").unionAll(superseded.select("event_slot")))
+        if slots:
+            target = silver.where(F.col("event_slot").isin(slots))
+            replace_slots(self.spark, upsert_rows(target, accepted, ["order_id"]), self.paths["silver"], slots)
         self._refresh_gold(keys)
-        return accepted.count()
+        return seen.get["rows"]
 
     def _remember_keys(self, keys: DataFrame, batch_id: int) -> DataFrame:
         """Keys of this batch and of an earlier attempt at it, which may have moved rows before it failed."""
         path = f"{self.paths['keys']}/batch={batch_id}"
-        every = materialize(keys.unionByName(read_or_empty(self.spark, path, KEY_SCHEMA)).distinct(), "keys")
-        every.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-        return every
+        if path_exists(self.spark, path):
+            earlier = self.spark.read.schema(KEY_SCHEMA).parquet(path)
+            keys = materialize(keys.unionByName(earlier).distinct(), "keys")
+        keys.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return self.spark.read.schema(KEY_SCHEMA).parquet(path)
 
     def _refresh_gold(self, keys: DataFrame) -> None:
-        hours = hours_of(keys.select(hour("event_minute").alias("event_hour")))
-        if not hours:
+        slots = slots_of(keys.select(slot("event_minute", self.grain).alias("event_slot")))
+        if not slots:
             return
         on = ["event_minute", "channel"]
-        silver = self.silver().where(F.col("event_hour").isin(hours))
+        silver = self.silver().where(F.col("event_slot").isin(slots))
         affected = silver.withColumn("event_minute", minute("event_time")).join(keys, on, "left_semi")
-        fresh = minute_kpis(affected, F.current_timestamp()).withColumn("event_hour", hour("event_minute"))
+        fresh = minute_kpis(affected, F.current_timestamp()).withColumn("event_slot", slot("event_minute", self.grain))
         gold = self.gold()
-        kept = gold.where(F.col("event_hour").isin(hours)).join(keys, on, "left_anti").select(*gold.columns)
-        replace_hours(self.spark, kept.unionByName(fresh), self.paths["gold"], hours, "gold")
+        kept = gold.where(F.col("event_slot").isin(slots)).join(keys, on, "left_anti").select(*gold.columns)
+        replace_slots(self.spark, kept.unionByName(fresh), self.paths["gold"], slots)
 
     def _record(self, batch_id, counts, started, clock, lag, status, error) -> None:
         ms = int((time.perf_counter() - clock) * 1000)
