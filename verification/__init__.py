@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("tables", "quality", "states", "assistant", "streams", "models")
+MODULES = ("tables", "quality", "states", "assistant", "streams", "models", "primitives")
 
 
 def registries():
