@@ -1,78 +1,91 @@
-"""Exact money: DECIMAL inside the plan, DOUBLE where a table is published."""
+"""Exact money at the speed of primitives.
+
+Amounts are DOUBLE columns holding whole cents. Whatever is added up or
+multiplied goes through BIGINT cents, so totals do not depend on the order of
+the rows, and halves round away from zero. An overflow raises an error.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
-MONEY = "decimal(18,2)"
-RATE = "decimal(6,4)"
+RATE_UNITS = 10_000  # rates keep four decimals
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def cents(c) -> Column:
+    return F.floor(_col(c) * 100 + 0.5).cast("bigint")
+
+
+def dollars(whole_cents: Column) -> Column:
+    return whole_cents / F.lit(100.0)
+
+
 def money(c) -> Column:
-    """To cents. Casting rounds half up, and is free for a column that is already money."""
-    return _col(c).cast(MONEY)
+    """Rounded to cents, still DOUBLE."""
+    return dollars(cents(c))
+
+
+def rate_units(c) -> Column:
+    return F.floor(_col(c) * RATE_UNITS + 0.5).cast("bigint")
+
+
+def divide(numerator: Column, denominator: Column) -> Column:
+    """Integer quotient, halves away from zero; NULL unless the denominator is positive."""
+    n, d = numerator.cast("bigint"), denominator.cast("bigint")
+    size = F.call_function("div", F.abs(n) * 2 + d, d * 2)
+    return F.when(d > 0, F.when(n < 0, -size).otherwise(size))
 
 
-def rate(c) -> Column:
-    return _col(c).cast(RATE)
+def total(c) -> Column:
+    """SUM in cents."""
+    return F.sum(cents(c))
 
 
-def zero() -> Column:
-    return F.lit(0).cast(MONEY)
+def line_discount_units(line_total="line_total", discount_pct="discount_pct") -> Column:
+    """Discount of one line in ten-thousandths of a cent, so that rounding happens after the sum."""
+    return cents(line_total) * rate_units(discount_pct)
 
 
-def line_discount(line_total="line_total", discount_pct="discount_pct") -> Column:
-    """Discount of one line, not yet rounded to cents."""
-    return money(line_total) * rate(discount_pct)
+def units_to_cents(units: Column) -> Column:
+    return divide(units, F.lit(RATE_UNITS))
 
 
 def line_net(line_total="line_total", discount_pct="discount_pct") -> Column:
-    return money(money(line_total) * (rate(F.lit(1)) - rate(discount_pct)))
+    """Cents of one line after its discount."""
+    return units_to_cents(cents(line_total) * (F.lit(RATE_UNITS) - rate_units(discount_pct)))
 
 
-def tax_on(net: Column, pct: str = "0.08") -> Column:
-    return money(net * F.lit(pct).cast("decimal(4,2)"))
+def tax_on(net_cents: Column, percent: int = 8) -> Column:
+    return divide(net_cents * percent, F.lit(100))
 
 
 def net_revenue(status: Column, gross: Column, discount: Column, refund: Column) -> Column:
-    """Gross less discount and approved refunds, never below 0, and 0 once cancelled."""
-    return F.when(status == "Cancelled", zero()).otherwise(
-        money(F.greatest(gross - discount - refund, zero()))
+    """Cents of gross less discount and approved refunds, never below 0, and 0 once cancelled."""
+    return F.when(status == "Cancelled", F.lit(0).cast("bigint")).otherwise(
+        F.greatest(gross - discount - refund, F.lit(0).cast("bigint"))
     )
 
 
-def mean(total: Column, n: Column) -> Column:
-    """Unrounded average from an exact sum; NULL for an empty group."""
-    return F.try_divide(total.cast("double"), n.cast("double"))
-
-
-def _div_half_up(numerator: Column, denominator: Column) -> Column:
-    """Non-negative integers, quotient rounded half up; NULL for a zero denominator."""
-    n, d = numerator.cast("bigint"), denominator.cast("bigint")
-    return F.when(d > 0, F.call_function("div", n * 2 + d, d * 2))
+def mean(total_cents: Column, n: Column) -> Column:
+    """Unrounded average amount; NULL for an empty group."""
+    return F.try_divide(dollars(total_cents), n.cast("double"))
 
 
-def mean_cents(total: Column, n: Column) -> Column:
-    """Average of money, rounded to cents with halves away from zero."""
-    size = _div_half_up(F.abs(total) * 100, n) / F.lit(100.0)
-    return F.when(total < 0, -size).otherwise(size)
+def mean_cents(total_cents: Column, n: Column) -> Column:
+    """Average amount rounded to cents; NULL for an empty group."""
+    return dollars(divide(total_cents, n))
 
 
-def pct(part: Column, whole: Column, digits: int = 2) -> Column:
-    """`100 * part / whole` of two counts, rounded half up; NULL when `whole` is 0."""
+def mean_rounded(total: Column, n: Column, digits: int = 2) -> Column:
+    """Average of integers, rounded."""
     scale = 10**digits
-    return _div_half_up(part.cast("bigint") * (100 * scale), whole) / F.lit(float(scale))
+    return divide(total.cast("bigint") * scale, n) / F.lit(float(scale))
 
 
-def publish(df: DataFrame) -> DataFrame:
-    """Cast the DECIMAL columns of a finished table to DOUBLE, keeping the column order."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def pct(part: Column, whole: Column, digits: int = 2) -> Column:
+    """`100 * part / whole` of two counts, rounded; NULL when `whole` is 0."""
+    return mean_rounded(part.cast("bigint") * 100, whole, digits)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martloom.functions.money import pct, zero
+from martloom.functions.money import pct
 
 
 def count_when(cond: Column) -> Column:
@@ -14,7 +14,7 @@ def count_when(cond: Column) -> Column:
 
 
 def sum_when(cond: Column, value: Column) -> Column:
-    return F.sum(F.when(cond, value).otherwise(zero()))
+    return F.sum(F.when(cond, value).otherwise(0))
 
 
 def distinct_when(cond: Column, value: str) -> Column:

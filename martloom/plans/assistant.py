@@ -205,9 +205,9 @@ def _active(t: Tables) -> DataFrame:
 
 
 METRICS: dict[str, Callable[[Tables], DataFrame]] = {
-    "total_revenue": lambda t: t["fact_orders"].agg(F.sum(m.money("net_revenue")).cast("double").alias("value")),
+    "total_revenue": lambda t: t["fact_orders"].agg(m.dollars(m.total("net_revenue")).alias("value")),
     "avg_order_value": lambda t: _live(t).agg(
-        m.mean_cents(F.sum(m.money("net_revenue")), F.count("net_revenue")).alias("value")
+        m.mean_cents(m.total("net_revenue"), F.count("net_revenue")).alias("value")
     ),
     "total_orders": lambda t: _count(_live(t)),
     "active_customers": lambda t: _count(_active(t)),
@@ -234,7 +234,7 @@ def platform_summary(t: Tables) -> DataFrame:
         [
             _active(t).agg(F.count(F.lit(1)).alias("active_customers")),
             _live(t).agg(F.count(F.lit(1)).alias("orders"),
-                         F.sum(m.money("net_revenue")).cast("decimal(28,0)").cast("double").alias("revenue")),
+                         m.divide(m.total("net_revenue"), F.lit(100)).cast("double").alias("revenue")),
         ]
     )
     line = F.concat(F.lit("Platform | Active customers: "), tx.thousands(F.col("active_customers")), F.lit(" | Orders: "),
@@ -263,10 +263,10 @@ def quality_view(results: DataFrame) -> DataFrame:
 def sales_summary(daily_sales: DataFrame, as_of: dt.date, days: int = 7, k: int = 10) -> DataFrame:
     recent = daily_sales.where(since("order_date", as_of, days))
     per_day = recent.groupBy("order_date").agg(
-        F.sum("total_orders").alias("orders"), F.sum(m.money("total_revenue")).alias("_revenue")
+        F.sum("total_orders").alias("orders"), m.total("total_revenue").alias("_revenue")
     )
     best = top_k(per_day, [F.desc("order_date")], k)
-    return best.select("order_date", "orders", F.col("_revenue").cast("double").alias("revenue"),
+    return best.select("order_date", "orders", m.dollars(F.col("_revenue")).alias("revenue"),
                        m.mean_cents(F.col("_revenue"), F.col("orders")).alias("aov"))
 
 

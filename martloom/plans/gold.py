@@ -23,7 +23,7 @@ def live() -> Column:
 
 
 def _live_sum() -> Column:
-    return F.sum(F.when(live(), m.money("net_revenue")))
+    return F.sum(F.when(live(), m.cents("net_revenue")))
 
 
 def _live_count() -> Column:
@@ -31,23 +31,22 @@ def _live_count() -> Column:
 
 
 def daily_sales_summary(t: Tables) -> DataFrame:
-    daily = t["fact_orders"].groupBy("order_date", "channel").agg(
+    return t["fact_orders"].groupBy("order_date", "channel").agg(
         F.count_distinct("order_id").alias("order_attempts"),
         distinct_when(live(), "order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum(m.money("net_revenue")).alias("total_revenue"),
+        m.dollars(m.total("net_revenue")).alias("total_revenue"),
         m.mean_cents(_live_sum(), _live_count()).alias("avg_order_value"),
-        sum_when(live(), m.money("discount_amount")).alias("total_discounts"),
+        m.dollars(sum_when(live(), m.cents("discount_amount"))).alias("total_discounts"),
         count_when(~live()).alias("cancelled_orders"),
     )
-    return m.publish(daily)
 
 
 def customer_kpis(t: Tables, as_of: dt.date) -> DataFrame:
     """Facts are brought to one row per customer before they meet the dimension."""
     spent = t["fact_orders"].groupBy("customer_id").agg(
         distinct_when(live(), "order_id").alias("total_orders"),
-        F.sum(m.money("net_revenue")).cast("double").alias("total_revenue"),
+        m.dollars(m.total("net_revenue")).alias("total_revenue"),
         m.mean(_live_sum(), _live_count()).alias("avg_order_value"),
         F.max(F.when(live(), F.col("order_date"))).alias("_last_live"),
     )
@@ -64,16 +63,13 @@ def customer_kpis(t: Tables, as_of: dt.date) -> DataFrame:
 
 def customer_lifetime_value(t: Tables) -> DataFrame:
     tenure = F.col("tenure_days")
-    days = F.greatest(tenure, F.lit(30)).cast("decimal(10,0)")
-    run_rate = m.money(m.money("total_revenue") * F.lit(365 * 3).cast("decimal(4,0)") / days)
-    return m.publish(
-        t["customer_kpis"].select(
-            "customer_id", "full_name", "customer_segment", F.col("total_revenue").alias("historical_revenue"),
-            "total_orders", "avg_order_value", "tenure_days",
-            F.when(tenure >= 0, run_rate).otherwise(m.zero()).alias("baseline_3yr_clv"),
-            F.lit(CLV_METHOD).alias("clv_method"),
-            labels.clv_tier(F.col("total_revenue")).alias("clv_tier"),
-        )
+    run_rate = m.mean_cents(m.cents("total_revenue") * (365 * 3), F.greatest(tenure, F.lit(30)))
+    return t["customer_kpis"].select(
+        "customer_id", "full_name", "customer_segment", F.col("total_revenue").alias("historical_revenue"),
+        "total_orders", "avg_order_value", "tenure_days",
+        F.when(tenure >= 0, run_rate).otherwise(0.0).alias("baseline_3yr_clv"),
+        F.lit(CLV_METHOD).alias("clv_method"),
+        labels.clv_tier(F.col("total_revenue")).alias("clv_tier"),
     )
 
 
@@ -92,23 +88,20 @@ def product_kpis(t: Tables) -> DataFrame:
     sales = match(t["fact_order_items"], sold, "order_id").groupBy("product_id").agg(
         F.count_distinct("order_id").alias("order_count"),
         F.sum("quantity").alias("total_units_sold"),
-        F.sum(m.money("net_line_total")).alias("_sales"),
+        m.total("net_line_total").alias("_sales"),
     )
     returned = t["fact_returns"].withColumnRenamed("return_status", "status")
     refunds = approved_refunds(returned, "product_id")
     reviews = t["product_reviews"].groupBy("product_id").agg(
-        m.mean(F.sum("rating"), F.count("rating")).alias("avg_review_rating"), F.count(F.lit(1)).alias("review_count")
+        F.avg("rating").alias("avg_review_rating"), F.count(F.lit(1)).alias("review_count")
     )
     p = attach(t["dim_products"], [sales, refunds, reviews], "product_id")
     p = zero_fill(p, ["order_count", "total_units_sold", "_sales", "approved_refunds", "review_count"])
-    return m.publish(
-        p.select(
-            "product_id", "product_name", "category_name", "price", "margin_pct", "status", "order_count",
-            "total_units_sold",
-            m.money(F.greatest(F.col("_sales") - F.col("approved_refunds"), m.zero())).alias("total_revenue"),
-            m.money("approved_refunds").alias("approved_refunds"),
-            "avg_review_rating", "review_count",
-        )
+    kept = F.greatest(F.col("_sales") - F.col("approved_refunds"), F.lit(0))
+    return p.select(
+        "product_id", "product_name", "category_name", "price", "margin_pct", "status", "order_count",
+        "total_units_sold", m.dollars(kept).alias("total_revenue"),
+        m.dollars(F.col("approved_refunds")).alias("approved_refunds"), "avg_review_rating", "review_count",
     )
 
 
@@ -117,7 +110,7 @@ def store_performance(t: Tables) -> DataFrame:
         F.count_distinct("order_id").alias("order_attempts"),
         distinct_when(live(), "order_id").alias("total_orders"),
         distinct_when(live(), "customer_id").alias("unique_customers"),
-        F.sum(m.money("net_revenue")).cast("double").alias("total_revenue"),
+        m.dollars(m.total("net_revenue")).alias("total_revenue"),
         m.mean(_live_sum(), _live_count()).alias("avg_order_value"),
     )
     measures = sold.columns[1:]
@@ -148,7 +141,7 @@ def support_operations(t: Tables) -> DataFrame:
     score = F.col("satisfaction_score")
     return t["support_tickets"].groupBy("category", "priority", F.col("status").alias("ticket_status")).agg(
         F.count(F.lit(1)).alias("ticket_count"),
-        m.mean_cents(F.sum(score), F.count(score)).alias("avg_satisfaction"),
+        m.mean_rounded(F.sum(score), F.count(score)).alias("avg_satisfaction"),
         count_when(resolved).alias("resolved_count"),
         m.pct(count_when(resolved), F.count(F.lit(1))).alias("resolution_rate_pct"),
     )
@@ -164,7 +157,7 @@ def executive_kpi(t: Tables, as_of: dt.date) -> DataFrame:
             t["fact_orders"].agg(
                 n.alias("order_attempts"),
                 count_when(live()).alias("total_orders"),
-                F.sum(m.money("net_revenue")).cast("double").alias("total_revenue"),
+                m.dollars(m.total("net_revenue")).alias("total_revenue"),
                 m.mean_cents(_live_sum(), _live_count()).alias("avg_order_value"),
             ),
             t["fact_returns"].agg(n.alias("total_returns")),

@@ -26,15 +26,16 @@ STATES_LATER = ("Completed", "Returned", "Cancelled")
 
 
 def payable(orders: DataFrame) -> Column:
-    return m.money(m.money("order_total") - m.money("discount_amount") + m.money("tax_amount"))
+    """Cents to be paid."""
+    return m.cents("order_total") - m.cents("discount_amount") + m.cents("tax_amount")
 
 
 def order_payables(t: Tables) -> DataFrame:
-    return t["orders"].select("order_id", payable(t["orders"]).alias("payable"))
+    return t["orders"].select("order_id", m.dollars(payable(t["orders"])).alias("payable"))
 
 
 def product_net_per_order(t: Tables) -> DataFrame:
-    return t["order_items"].groupBy("order_id", "product_id").agg(F.sum(m.line_net()).alias("net_value"))
+    return t["order_items"].groupBy("order_id", "product_id").agg(m.dollars(F.sum(m.line_net())).alias("net_value"))
 
 
 def status_by_age(t: Tables, as_of: dt.date) -> DataFrame:
@@ -56,7 +57,7 @@ def status_by_age(t: Tables, as_of: dt.date) -> DataFrame:
 
 def payment_states(t: Tables, as_of: dt.date, lag_days: Column) -> DataFrame:
     """One primary payment per order in the state its order implies, and the failed attempts beside it."""
-    due = F.greatest(payable(t["orders"]), m.money(F.lit("0.01")))
+    due = m.dollars(F.greatest(payable(t["orders"]), F.lit(1)))
     orders = t["orders"].select("order_id", "status", as_date("order_date").alias("_ordered"), due.alias("amount"))
     paid_on = F.least(F.lit(as_of), F.date_add(F.col("_ordered"), lag_days))
     primary = orders.select(
@@ -123,7 +124,7 @@ def capped_refunds(t: Tables, as_of: dt.date) -> DataFrame:
     orders = t["orders"].select("order_id", as_date("order_date").alias("_ordered"))
     bought = product_net_per_order(t)
     r = match(match(t["returns"], bought, ["order_id", "product_id"]), orders, "order_id")
-    net = F.greatest(m.money("net_value"), m.money(F.lit("0.01")))
+    net = F.greatest(F.col("net_value"), F.lit(0.01))
     window = F.least(F.lit(RETURN_WINDOW_DAYS), age_days("_ordered", as_of))
     first, last = F.date_add("_ordered", 1), F.date_add(F.col("_ordered"), window)
     asked = m.money("refund_amount")

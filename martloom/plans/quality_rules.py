@@ -5,7 +5,7 @@ A rule's `check` names what counts as a violation:
     where:  <boolean SQL over the dataset's columns, `:as_of` allowed>
     unique: <key>
     not_in: <key> <reference table>
-    header: <boolean SQL over orders joined to their line totals (`line_gross`, `line_discounts`)>
+    header: <boolean SQL over orders joined to their line totals (cents: `line_gross`, `line_discounts`)>
     ledger: <violations per order_id, over the columns of `quality.order_ledger`>
     rows:   <name of a set check in `quality.SET_CHECKS`>
     sql:    <a SELECT that returns one count, over temporary views>
@@ -80,12 +80,12 @@ RULES: tuple[Rule, ...] = (
     Rule("QR024", "customers", "country", "validity", "warning", 5.0,
          "where: length(country) <> 2", "countries are two-letter codes"),
     Rule("QR025", "orders", "order_total", "consistency", "error", 0.0,
-         "header: abs(cast(order_total AS decimal(18,2)) - line_gross) > 0.01BD", "header totals equal the sum of the lines"),
+         "header: abs(floor(order_total * 100 + 0.5D) - line_gross) > 1", "header totals equal the sum of the lines"),
     Rule("QR026", "orders", "discount_amount", "consistency", "error", 0.0,
-         "header: abs(cast(discount_amount AS decimal(18,2)) - line_discounts) > 0.01BD", "header discounts equal the line discounts"),
+         "header: abs(floor(discount_amount * 100 + 0.5D) - line_discounts) > 1", "header discounts equal the line discounts"),
     Rule("QR027", "orders", "tax_amount", "consistency", "error", 0.0,
-         "where: abs(cast(tax_amount AS decimal(18,2)) - cast((cast(order_total AS decimal(18,2))"
-         " - cast(discount_amount AS decimal(18,2))) * 0.08BD AS decimal(18,2))) > 0.01BD",
+         "where: abs(floor(tax_amount * 100 + 0.5D) - floor((floor(order_total * 100 + 0.5D)"
+         " - floor(discount_amount * 100 + 0.5D)) * 8 / 100.0D + 0.5D)) > 1",
          "tax is 8% of gross less discount"),
     Rule("QR028", "returns", "product_id", "referential_integrity", "critical", 0.0,
          "rows: return_without_line", "returned products were on the order"),

@@ -50,7 +50,7 @@ def segment_profile(segments: DataFrame, customer_kpis: DataFrame) -> DataFrame:
     s = match(segments.select("customer_id", "segment_label"), customer_kpis, "customer_id")
     return s.groupBy("segment_label").agg(
         F.count(F.lit(1)).alias("customers"),
-        m.mean_cents(F.sum(m.money("total_revenue")), F.count("total_revenue")).alias("avg_revenue"),
+        m.mean_cents(m.total("total_revenue"), F.count("total_revenue")).alias("avg_revenue"),
         F.round(F.avg("total_orders"), 1).alias("avg_orders"),
         F.round(F.avg("days_since_last_order"), 0).alias("avg_recency_days"),
     ).orderBy(F.desc("avg_revenue"))
@@ -69,12 +69,12 @@ def top_anomalies(events: DataFrame, customer_360: DataFrame, k: int = 20) -> Da
 
 
 def top_demand(forecast: DataFrame, products: DataFrame, k: int = 20) -> DataFrame:
-    p = products.select("product_id", "product_name", "category_name", m.money("price").alias("price"))
+    p = products.select("product_id", "product_name", "category_name", "price")
     best = top_k(match(forecast, p, "product_id"), [F.desc("predicted_units"), F.asc("product_id")], k)
     return best.select(
-        "product_id", "product_name", "category_name", F.col("price").cast("double").alias("price"), "predicted_units",
+        "product_id", "product_name", "category_name", "price", "predicted_units",
         F.round(F.col("stability_score") * 100, 1).alias("stability_score_pct"),
-        (F.col("predicted_units") * F.col("price")).cast("double").alias("baseline_revenue_estimate"),
+        m.dollars(F.col("predicted_units") * m.cents("price")).alias("baseline_revenue_estimate"),
     )
 
 

@@ -75,19 +75,17 @@ def dim_customers(t: Tables, as_of: dt.date) -> DataFrame:
 def dim_products(t: Tables) -> DataFrame:
     categories = t["categories"].select("category_id", F.col("name").alias("category_name"))
     p = enrich(t["products"], categories, "category_id")
-    price, cost = m.money("price"), m.money("cost")
-    # margin percent in whole hundredths first, so that the rounding is exact
-    margin_pct = F.when(price != 0, m.money((price - cost) * 100 / price))
+    price, margin = m.cents("price"), m.cents("price") - m.cents("cost")
     return p.select(
         "product_id",
         F.col("name").alias("product_name"),
         "category_id",
         "category_name",
         "supplier_id",
-        price.alias("price"),
-        cost.alias("cost"),
-        m.money(price - cost).alias("gross_margin"),
-        margin_pct.alias("margin_pct"),
+        m.money("price").alias("price"),
+        m.money("cost").alias("cost"),
+        m.dollars(margin).alias("gross_margin"),
+        m.mean_rounded(margin * 100, price).alias("margin_pct"),
         "sku",
         "weight_kg",
         "status",
@@ -127,15 +125,15 @@ def reconciled_orders(t: Tables) -> DataFrame:
     An order without lines keeps the header it came with.
     """
     lines = t["order_items"].groupBy("order_id").agg(
-        F.sum(m.money("line_total")).alias("_gross"), m.money(F.sum(m.line_discount())).alias("_discount")
+        m.total("line_total").alias("_gross"), m.units_to_cents(F.sum(m.line_discount_units())).alias("_discount")
     )
     o = enrich(t["orders"], lines, "order_id")
     has_lines = F.col("_gross").isNotNull()
     own = {c: m.money(c) for c in ("order_total", "discount_amount", "tax_amount")}
     lined = {
-        "order_total": m.money("_gross"),
-        "discount_amount": F.col("_discount"),
-        "tax_amount": m.tax_on(F.col("_gross") - F.col("_discount")),
+        "order_total": m.dollars(F.col("_gross")),
+        "discount_amount": m.dollars(F.col("_discount")),
+        "tax_amount": m.dollars(m.tax_on(F.col("_gross") - F.col("_discount"))),
     }
     return o.select(
         *[
@@ -146,8 +144,9 @@ def reconciled_orders(t: Tables) -> DataFrame:
 
 
 def approved_refunds(returns: DataFrame, *keys: str) -> DataFrame:
+    """Approved refunds per key, in cents."""
     approved = F.col("status") == "Approved"
-    return returns.groupBy(*keys).agg(sum_when(approved, m.money("refund_amount")).alias("approved_refunds"))
+    return returns.groupBy(*keys).agg(sum_when(approved, m.cents("refund_amount")).alias("approved_refunds"))
 
 
 def fact_orders(t: Tables) -> DataFrame:
@@ -155,8 +154,8 @@ def fact_orders(t: Tables) -> DataFrame:
     refunds = approved_refunds(t["returns"], "order_id")
     sold = t["orders"].where(F.col("customer_id").isNotNull() & (F.col("order_total") > 0))
     o = attach(sold, [refunds], "order_id")
-    gross, discount = m.money("order_total"), m.money("discount_amount")
-    refund = F.coalesce(m.money("approved_refunds"), m.zero())
+    gross, discount = m.cents("order_total"), m.cents("discount_amount")
+    refund = F.coalesce("approved_refunds", F.lit(0))
     return o.select(
         "order_id",
         "customer_id",
@@ -165,12 +164,12 @@ def fact_orders(t: Tables) -> DataFrame:
         as_date("order_date").alias("order_date"),
         F.col("status").alias("order_status"),
         "channel",
-        gross.alias("order_total"),
-        discount.alias("discount_amount"),
+        m.dollars(gross).alias("order_total"),
+        m.dollars(discount).alias("discount_amount"),
         m.money("tax_amount").alias("tax_amount"),
-        m.money(gross - discount).alias("net_sales_before_refunds"),
-        refund.alias("approved_refund_amount"),
-        m.net_revenue(F.col("status"), gross, discount, refund).alias("net_revenue"),
+        m.dollars(gross - discount).alias("net_sales_before_refunds"),
+        m.dollars(refund).alias("approved_refund_amount"),
+        m.dollars(m.net_revenue(F.col("status"), gross, discount, refund)).alias("net_revenue"),
         "currency",
         *lineage(o),
     )
@@ -180,7 +179,7 @@ def fact_order_items(t: Tables) -> DataFrame:
     lines = t["order_items"].where((F.col("quantity") > 0) & (F.col("unit_price") > 0))
     return lines.select(
         "item_id", "order_id", "product_id", "quantity", "unit_price", "line_total", "discount_pct",
-        m.line_net().alias("net_line_total"),
+        m.dollars(m.line_net()).alias("net_line_total"),
     )
 
 
@@ -207,7 +206,8 @@ def fact_returns(t: Tables) -> DataFrame:
     orders = t["orders"].select("order_id", as_date("order_date").alias("_ordered"))
     returned = as_date("return_date")
     return enrich(t["returns"], orders, "order_id").select(
-        "return_id", "order_id", "product_id", "reason", returned.alias("return_date"), "refund_amount",
+        "return_id", "order_id", "product_id", "reason", returned.alias("return_date"),
+        m.money("refund_amount").alias("refund_amount"),
         F.col("status").alias("return_status"), F.datediff(returned, F.col("_ordered")).alias("days_to_return"),
     )
 

@@ -30,9 +30,9 @@ MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 def events_from_sequence(numbers: DataFrame, token: str, now: dt.datetime) -> DataFrame:
     """Order events computed from a `seq` column (0, 1, 2, ...)."""
     seq = F.col("seq")
-    total = m.money(F.lit(25) + (seq % 5000) * F.lit("0.37").cast("decimal(4,2)"))
-    off = (seq % 10) * F.lit("0.01").cast("decimal(3,2)")
-    cut = m.money(total * off)
+    total = F.lit(2500) + (seq % 5000) * 37  # cents
+    off = seq % 10  # percent
+    hundredth = F.lit(100)
     padded = F.lpad(seq.cast("string"), 6, "0")
     return numbers.select(
         F.concat(F.lit(f"RTEVT_{token}_"), padded).alias("event_id"),
@@ -41,9 +41,9 @@ def events_from_sequence(numbers: DataFrame, token: str, now: dt.datetime) -> Da
         F.concat(F.lit("STR"), F.lpad((seq % 50 + 1).cast("string"), 4, "0")).alias("store_id"),
         seconds_before(F.lit(now).cast("timestamp"), seq % 60).alias("event_time"),
         F.when(seq % 3 == 0, "web").when(seq % 3 == 1, "mobile").otherwise("store").alias("channel"),
-        total.cast("double").alias("order_total"),
-        cut.cast("double").alias("discount_amount"),
-        m.money((total - total * off) * F.lit("0.08").cast("decimal(3,2)")).cast("double").alias("tax_amount"),
+        m.dollars(total).alias("order_total"),
+        m.dollars(m.divide(total * off, hundredth)).alias("discount_amount"),
+        m.dollars(m.divide(total * (hundredth - off) * 8, hundredth * 100)).alias("tax_amount"),
         F.lit("Completed").alias("status"),
         F.lit("sequence_feed").alias("source"),
     )

@@ -56,24 +56,23 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 def silver_orders(events: DataFrame, processed_at: Column, grain: str = "day") -> DataFrame:
     """One row per order: its latest event in the batch."""
     latest = latest_by_key(events, "order_id", ["event_time", "event_id"])
-    net = m.money(m.money("order_total") - m.money("discount_amount"))
+    net = m.dollars(m.cents("order_total") - m.cents("discount_amount"))
     return latest.select(
         "order_id", "customer_id", "store_id", "event_time", "channel", "order_total", "discount_amount", "tax_amount",
-        net.cast("double").alias("net_revenue"), F.col("status").alias("order_status"), "source", "_microbatch_id",
+        net.alias("net_revenue"), F.col("status").alias("order_status"), "source", "_microbatch_id",
         processed_at.alias("_processed_at"), slot("event_time", grain).alias("event_slot"),
     )
 
 
 def minute_kpis(silver: DataFrame, last_updated: Column) -> DataFrame:
     """Sales per minute and channel."""
-    net = m.money("net_revenue")
     return silver.groupBy(minute("event_time").alias("event_minute"), "channel").agg(
         F.count(F.lit(1)).alias("order_count"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum(m.money("order_total")).cast("double").alias("gross_sales"),
-        F.sum(m.money("discount_amount")).cast("double").alias("discounts"),
-        F.sum(net).cast("double").alias("revenue"),
-        m.mean_cents(F.sum(net), F.count("net_revenue")).alias("avg_order_value"),
+        m.dollars(m.total("order_total")).alias("gross_sales"),
+        m.dollars(m.total("discount_amount")).alias("discounts"),
+        m.dollars(m.total("net_revenue")).alias("revenue"),
+        m.mean_cents(m.total("net_revenue"), F.count("net_revenue")).alias("avg_order_value"),
         last_updated.alias("last_updated"),
     )
 

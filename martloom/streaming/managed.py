@@ -20,7 +20,7 @@ def bronze_rows(events: DataFrame) -> DataFrame:
 
 
 def silver_rows(bronze: DataFrame) -> DataFrame:
-    net = m.money(m.money("order_total") - m.money("discount_amount")).cast("double")
+    net = m.dollars(m.cents("order_total") - m.cents("discount_amount"))
     typed = bronze.select(
         "event_id", "order_id", "customer_id", "store_id", "event_time", "channel", "order_total", "discount_amount",
         "tax_amount", net.alias("net_revenue"), F.col("status").alias("order_status"), "source", "_pipeline_ingested_at",

@@ -119,7 +119,7 @@ R.add(
 
 
 def header_update(x):
-    lines = x.source["order_items"].groupBy("order_id").agg(F.sum(m.money("line_total")).cast("double").alias("order_total"))
+    lines = x.source["order_items"].groupBy("order_id").agg(m.dollars(m.total("line_total")).alias("order_total"))
     return sinks.update_matched(x.source["orders"], lines, "order_id").select("order_id", "customer_id", "order_total")
 
 
@@ -207,7 +207,7 @@ R.add(
 
 def counted(x):
     names = ("fact_order_items", "fact_payments", "dim_products")
-    rows = [(t, sinks.write_table(m.publish(x.t[t]), scratch_path(x.spark, t))) for t in names]
+    rows = [(t, sinks.write_table(x.t[t], scratch_path(x.spark, t))) for t in names]
     return x.spark.createDataFrame(rows, "table_name string, rows long")
 
 
@@ -281,7 +281,7 @@ R.add(
 R.add("p1_select_rename_type", lambda x: x.t["dim_stores"], sql("SELECT * FROM dim_stores"))
 R.add(
     "p2_computed_columns",
-    lambda x: x.source["order_items"].select("order_id", "line_total", m.line_net().cast("double").alias("net")),
+    lambda x: x.source["order_items"].select("order_id", "line_total", m.dollars(m.line_net()).alias("net")),
     sql(f"SELECT order_id, line_total, CAST({LINE_NET} AS DOUBLE) AS net FROM src_order_items"),
 )
 R.add(
@@ -480,7 +480,7 @@ R.add(
     "a1_group",
     lambda x: x.source["order_items"].groupBy("product_id").agg(
         F.sum("quantity").alias("units"), F.min("line_total").alias("lowest"), F.max("line_total").alias("highest"),
-        m.mean(F.sum("quantity"), F.count("quantity")).alias("mean_quantity"), n().alias("lines")),
+        F.avg("quantity").alias("mean_quantity"), n().alias("lines")),
     sql(
         "SELECT product_id, SUM(quantity) AS units, MIN(line_total) AS lowest, MAX(line_total) AS highest,"
         f" {mean('SUM(quantity)', 'COUNT(quantity)')} AS mean_quantity, COUNT(*) AS lines FROM src_order_items GROUP BY product_id"
@@ -490,7 +490,7 @@ R.add(
     "a2_conditional",
     lambda x: x.source["orders"].groupBy("channel").agg(
         ag.count_when(col("status") == "Cancelled").alias("cancelled"),
-        ag.sum_when(col("status") != "Cancelled", m.money("order_total")).cast("double").alias("live_total"),
+        m.dollars(ag.sum_when(col("status") != "Cancelled", m.cents("order_total"))).alias("live_total"),
         F.max(F.when(col("status") == "Completed", col("order_date"))).alias("last_completed")),
     sql(
         "SELECT channel, COUNT(CASE WHEN status = 'Cancelled' THEN 1 END) AS cancelled,"
@@ -515,7 +515,7 @@ R.add(
 )
 R.add(
     "a5_global",
-    lambda x: x.source["payments"].agg(n().alias("rows"), F.sum(m.money("amount")).cast("double").alias("amount")),
+    lambda x: x.source["payments"].agg(n().alias("rows"), m.dollars(m.total("amount")).alias("amount")),
     sql(f"SELECT COUNT(*) AS rows, CAST(SUM({money('amount')}) AS DOUBLE) AS amount FROM src_payments"),
 )
 R.add(
@@ -602,9 +602,9 @@ R.add(
 )
 R.add(
     "w3_running_total",
-    lambda x: wn.running_total(x.source["orders"].select("order_id", "store_id", m.money("order_total").alias("amount")),
+    lambda x: wn.running_total(x.source["orders"].select("order_id", "store_id", m.cents("order_total").alias("amount")),
                                ["store_id"], [F.asc("order_id")], "amount", "so_far").select(
-        "order_id", "store_id", F.col("so_far").cast("double").alias("so_far")),
+        "order_id", "store_id", m.dollars(col("so_far")).alias("so_far")),
     sql(
         f"SELECT order_id, store_id, CAST(SUM({money('order_total')}) OVER (PARTITION BY store_id ORDER BY order_id"
         " ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS so_far FROM src_orders"
@@ -769,7 +769,7 @@ R.add(
     "f13_numbers",
     lambda x: x.star["lineitem"].select("l_orderkey", F.abs(-col("l_quantity")).alias("a"), F.greatest("l_quantity", "l_extendedprice").alias("g"),
                                         F.least("l_discount", "l_tax").alias("s"), (col("l_orderkey") % 7).alias("r"),
-                                        m.money(col("l_extendedprice")).cast("double").alias("cents")),
+                                        m.money("l_extendedprice").alias("cents")),
     "SELECT l_orderkey, abs(-l_quantity) AS a, greatest(l_quantity, l_extendedprice) AS g, least(l_discount, l_tax) AS s,"
     " l_orderkey % 7 AS r, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS cents FROM lineitem",
 )
@@ -825,9 +825,9 @@ R.add(
 )
 R.add(
     "f20_formatting",
-    lambda x: x.source["order_items"].groupBy("product_id").agg(n().alias("lines"), F.sum(m.money("line_total")).alias("total"),
+    lambda x: x.source["order_items"].groupBy("product_id").agg(n().alias("lines"), m.total("line_total").alias("total"),
                                                                ag.count_when(col("discount_pct") > 0.05).alias("cut")).select(
-        "product_id", tx.dollars(col("total")).alias("total"), tx.thousands(col("lines") * 1000).alias("lines"),
+        "product_id", tx.dollars(m.dollars(col("total"))).alias("total"), tx.thousands(col("lines") * 1000).alias("lines"),
         tx.percent(F.lit(0.25)).alias("share")),
     sql(
         f"SELECT product_id, '$' || format('{{:,}}', CAST(floor(t) AS BIGINT)) || '.' || lpad(CAST(CAST((t - floor(t)) * 100 AS INTEGER)"

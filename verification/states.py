@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from martloom.functions import money as m
 from martloom.plans import anomalies, demand, order_states as s, quality, validation as v
 from verification.common import Registry
 from verification.ctes import AS_OF, LINE_NET, money, pct, sql
@@ -18,12 +17,12 @@ _PAIRS = f"SELECT order_id, product_id, SUM({LINE_NET}) AS net_value FROM src_or
 
 R.add(
     "g23_order_payables",
-    lambda x: m.publish(s.order_payables(x.t)),
+    lambda x: s.order_payables(x.t),
     sql(f"SELECT order_id, CAST({PAYABLE} AS DOUBLE) AS payable FROM rec_orders"),
 )
 R.add(
     "g24_product_net_per_order",
-    lambda x: m.publish(s.product_net_per_order(x.t)),
+    lambda x: s.product_net_per_order(x.t),
     sql(f"SELECT order_id, product_id, CAST(net_value AS DOUBLE) AS net_value FROM ({_PAIRS})"),
 )
 R.add(
@@ -42,7 +41,7 @@ R.add(
 )
 R.add(
     "g26_payment_states",
-    lambda x: m.publish(s.payment_states(x.t, x.as_of, (F.col("order_id") % 3).cast("int"))),
+    lambda x: s.payment_states(x.t, x.as_of, (F.col("order_id") % 3).cast("int")),
     sql(
         f"SELECT order_id, 'primary' AS kind, CAST(GREATEST({PAYABLE}, 0.01) AS DOUBLE) AS amount,"
         " CASE WHEN status = 'Cancelled' THEN 'Refunded' ELSE 'Completed' END AS payment_status,"
@@ -87,7 +86,7 @@ R.add(
 _AGE = f"CAST(date_diff('day', o.order_date, {AS_OF}) AS INTEGER)"
 R.add(
     "g29_capped_refunds",
-    lambda x: m.publish(s.capped_refunds(x.t, x.as_of)),
+    lambda x: s.capped_refunds(x.t, x.as_of),
     sql(
         "SELECT return_id, order_id, product_id, CAST(net AS DOUBLE) AS purchased_net,"
         " CAST(LEAST(asked, net) AS DOUBLE) AS refund_amount, asked > net AS was_capped, last_day AS last_return_day,"
