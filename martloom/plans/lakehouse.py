@@ -21,16 +21,21 @@ GOLD = (
 GENAI = ("knowledge_index", "document_chunks")
 
 
-def lakehouse(spark, source: Mapping[str, DataFrame], as_of: dt.date) -> TableSet:
-    """Source, silver and gold tables by name. Order headers are reconciled to their lines on the way in."""
-    raw = source["orders"] if "orders" in source else None
+def lakehouse(
+    spark, source: Mapping[str, DataFrame], as_of: dt.date, written: Mapping[str, DataFrame] | None = None
+) -> TableSet:
+    """Source, silver and gold tables by name.
+
+    Order headers are reconciled to their lines on the way in. Tables given as
+    `written` are read instead of being computed again.
+    """
     holder: dict[str, TableSet] = {}
 
     def t() -> TableSet:
         return holder["t"]
 
     builders = {name: (lambda name=name: source[name]) for name in source}
-    if raw is not None:
+    if "orders" in source:
         builders["orders"] = lambda: silver.reconciled_orders(source)
     for name in SILVER:
         build = getattr(silver, name)
@@ -48,5 +53,7 @@ def lakehouse(spark, source: Mapping[str, DataFrame], as_of: dt.date) -> TableSe
             builders[name] = lambda build=build: build(t())
     builders["knowledge_index"] = lambda: knowledge.knowledge_index(t(), as_of)
     builders["document_chunks"] = lambda: knowledge.document_chunks(t())
+    for name, df in (written or {}).items():
+        builders[name] = lambda df=df: df
     holder["t"] = TableSet(builders)
     return holder["t"]
