@@ -125,17 +125,22 @@ def order_ledger(t: Tables) -> DataFrame:
 
 def _long_form(row: DataFrame, names: Sequence[str]) -> DataFrame:
     """One-row aggregate -> (rule_id, failed_records) rows."""
-    pairs = [F.struct(F.lit(n).alias("rule_id"), F.col(n).cast("bigint").alias("failed_records")) for n in names]
+    pairs = [F.struct(F.lit(n).alias("rule_id"), F.col(f"`{n}`").cast("bigint").alias("failed_records")) for n in names]
     return row.select(F.inline(F.array(*pairs)))
 
 
-def _row_rules(df: DataFrame, rules: Sequence[Rule], as_of: dt.date) -> DataFrame:
-    aggs = []
+ROWS = "rows:"  # prefix of a dataset's row count among the violation counts
+
+
+def _row_rules(df: DataFrame, rules: Sequence[Rule], as_of: dt.date, dataset: str | None = None) -> DataFrame:
+    """Counts of all row rules of one table in one scan, with its row count beside them if `dataset` is named."""
+    aggs = [F.count(F.lit(1)).alias(ROWS + dataset)] if dataset else []
     for r in rules:
         kind, text = _kind(r)
         count = surplus_duplicates(text) if kind == "unique" else F.count_if(_predicate(text, as_of))
         aggs.append(count.alias(r.rule_id))
-    return _long_form(df.agg(*aggs), [r.rule_id for r in rules])
+    names = [r.rule_id for r in rules]
+    return _long_form(df.agg(*aggs), [ROWS + dataset, *names] if dataset else names)
 
 
 def _reference_rules(t: Tables, key: str, reference: str, rules: Sequence[Rule]) -> DataFrame:
@@ -176,8 +181,13 @@ def _sql_rule(spark: SparkSession, t: Tables, rule: Rule) -> DataFrame:
     return count.select(F.lit(rule.rule_id).alias("rule_id"), F.col(count.columns[0]).cast("bigint").alias("failed_records"))
 
 
-def violation_counts(spark: SparkSession, t: Tables, rules: Sequence[Rule], as_of: dt.date) -> DataFrame:
-    """(rule_id, failed_records) of every enabled rule, as one lazy frame."""
+def violation_counts(
+    spark: SparkSession, t: Tables, rules: Sequence[Rule], as_of: dt.date, with_rows: bool = False
+) -> DataFrame:
+    """(rule_id, failed_records) of every enabled rule, as one lazy frame.
+
+    `with_rows` adds the row count of every checked dataset, taken in the same scans.
+    """
     groups: dict[tuple, list[Rule]] = {}
     for r in rules:
         if not r.enabled:
@@ -195,7 +205,7 @@ def violation_counts(spark: SparkSession, t: Tables, rules: Sequence[Rule], as_o
     parts = []
     for group, members in groups.items():
         if group[0] == "row":
-            parts.append(_row_rules(t[group[1]], members, as_of))
+            parts.append(_row_rules(t[group[1]], members, as_of, group[1] if with_rows else None))
         elif group[0] == "header":
             parts.append(_row_rules(headers_with_lines(t), members, as_of))
         elif group[0] == "ref":
@@ -208,6 +218,10 @@ def violation_counts(spark: SparkSession, t: Tables, rules: Sequence[Rule], as_o
             parts.extend(_sql_rule(spark, t, r) for r in members)
         else:
             raise ValueError(f"unknown check kind: {members[0].check}")
+    if with_rows:
+        scanned = {group[1] for group in groups if group[0] == "row"}
+        for name in dict.fromkeys(r.dataset for r in rules if r.enabled and r.dataset not in scanned):
+            parts.append(_row_rules(t[name], [], as_of, name))
     if not parts:
         return spark.createDataFrame([], COUNT_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
@@ -232,8 +246,8 @@ def small_datasets(counts: DataFrame, below: int = MIN_ROWS) -> DataFrame:
 
 def counts_with_errors(
     spark: SparkSession, t: Tables, rules: Sequence[Rule], as_of: dt.date
-) -> tuple[DataFrame, dict[str, str]]:
-    """Violation counts as data, and the message of every rule that could not be evaluated.
+) -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """Violation counts, dataset row counts, and the message of every rule that could not be evaluated.
 
     The fused plan is tried first. If anything in it breaks, the rules are
     evaluated one by one so that one broken rule cannot hide the others.
@@ -241,15 +255,21 @@ def counts_with_errors(
     active = [r for r in rules if r.enabled]
     errors: dict[str, str] = {}
     try:
-        rows = violation_counts(spark, t, active, as_of).collect()
+        rows = [tuple(x) for x in violation_counts(spark, t, active, as_of, with_rows=True).collect()]
     except (KeyError, ValueError, PySparkException):
-        rows = []
+        rows = [(ROWS + r.dataset, r.total_records) for r in dataset_counts(spark, t, active).collect()]
         for r in active:
             try:
-                rows += violation_counts(spark, t, [r], as_of).collect()
+                rows += [tuple(x) for x in violation_counts(spark, t, [r], as_of).collect()]
             except (KeyError, ValueError, PySparkException) as e:
                 errors[r.rule_id] = str(e)[:200]
-    return spark.createDataFrame([tuple(x) for x in rows], COUNT_SCHEMA), errors
+    totals = [(name.removeprefix(ROWS), n) for name, n in rows if name.startswith(ROWS)]
+    counts = [(name, n) for name, n in rows if not name.startswith(ROWS)]
+    return (
+        spark.createDataFrame(counts, COUNT_SCHEMA),
+        spark.createDataFrame(totals, "dataset string, total_records long"),
+        errors,
+    )
 
 
 # --- results ---------------------------------------------------------------------------------
@@ -294,8 +314,8 @@ def run_rules(
     spark: SparkSession, t: Tables, as_of: dt.date, run_id: str, at: dt.datetime, rules: Sequence[Rule] = RULES
 ) -> tuple[DataFrame, dict[str, str]]:
     """Evaluate and score. The result holds one row per rule."""
-    counts, errors = counts_with_errors(spark, t, rules, as_of)
-    return score(rules_frame(spark, rules), counts, dataset_counts(spark, t, rules), errors, run_id, at), errors
+    counts, totals, errors = counts_with_errors(spark, t, rules, as_of)
+    return score(rules_frame(spark, rules), counts, totals, errors, run_id, at), errors
 
 
 def violating_rows(t: Tables, rule: Rule, as_of: dt.date) -> DataFrame:
