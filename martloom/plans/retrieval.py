@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martloom.functions.text import TERM, search_terms
 from martloom.operators.windows import first_per_group
+from martloom.session import materialize
 
 SHORTEST, LONGEST = 4, 8  # search terms have at least four characters
 FIELDS = ("chunk_text", "title", "topic")
@@ -60,7 +61,8 @@ def search(
         F.col(question_key).alias("question"),
         F.explode(F.when(F.size(terms) > 0, F.array_distinct(terms)).otherwise(F.array(F.lit("")))).alias("term"),
     )
-    postings = _postings(chunks, chunk_key, fields, k)
+    # the texts are read once: k postings per word are written and used twice
+    postings = materialize(_postings(chunks, chunk_key, fields, k), "postings")
     pairs = _term_words(asked.select("term").distinct(), postings.select("word").distinct())
     per_term = first_per_group(pairs.join(postings, "word").select("term", "doc").distinct(), ["term"],
                                [F.col("doc").asc()], k)
