@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from martloom.functions.labels import segment_score
 from martloom.operators.joins import match
 from martloom.operators.ordering import ordered_split
-from martloom.session import materialize
+from martloom.session import materialize, stored_model
 
 Tables = Mapping[str, DataFrame]
 
@@ -117,7 +117,7 @@ def compare_models(features: DataFrame, names: Sequence[str] | None = None, **si
     candidates = []
     for name, pipeline in pipelines(**sizes).items():
         if names is None or name in names:
-            model = pipeline.fit(train)
+            model = stored_model(features.sparkSession, pipeline.fit(train), "churn")
             candidates.append(Candidate(name, model, metrics(model.transform(test))))
     return candidates
 

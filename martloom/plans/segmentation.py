@@ -11,6 +11,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from martloom.functions.labels import label_lookup
+from martloom.session import stored_model
 
 FEATURES = ("total_revenue", "total_orders", "days_since_last_order", "loyalty_points")
 K_RANGE, SEED = range(2, 7), 42
@@ -58,11 +59,13 @@ def fit_segments(customers: DataFrame, ks=K_RANGE) -> Segmentation:
     trials, fitted = [], {}
     judge = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
     for k in ks:
-        model = KMeans(k=k, seed=SEED, maxIter=50, predictionCol="cluster", featuresCol="features").fit(scaled)
+        fit = KMeans(k=k, seed=SEED, maxIter=50, predictionCol="cluster", featuresCol="features").fit(scaled)
+        cost = float(fit.summary.trainingCost)
+        model = stored_model(customers.sparkSession, fit, "segments")
         found = model.transform(scaled)
         filled = found.select("cluster").distinct().count()
         score = judge.evaluate(found) if filled > 1 else 0.0
-        trials.append((k, float(score), float(model.summary.trainingCost)))
+        trials.append((k, float(score), cost))
         fitted[k] = model
     k = max(trials, key=lambda x: x[1])[0]
     labels = labels_by_value(cluster_profile(fitted[k].transform(scaled)), k)

@@ -17,7 +17,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -65,6 +64,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_model(spark: SparkSession, model, label: str):
+    """A fitted model written to the shared folder and read back.
+
+    The copy has no training summary. A summary holds the session, and a session
+    that has run an Observation cannot be sent to tasks along with the model.
+    """
+    path = scratch_path(spark, label)
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

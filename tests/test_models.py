@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from martloom.plans import anomalies, churn, isolation, scoring, segmentation
 
@@ -36,6 +36,14 @@ def test_label_and_features(spark):
     assert "days_since_last_order" not in churn.FEATURES
 
 
+@pytest.fixture(autouse=True)
+def observed(spark):
+    """A session that has counted rows during a write must still be able to fit and apply models."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+
+
 def test_models_learn_and_one_is_always_chosen(spark, customers):
     found = churn.compare_models(customers, trees=10, boosts=3)
     assert [c.name for c in found] == ["Logistic Regression", "Random Forest", "Gradient Boosting"]
