@@ -147,3 +147,27 @@ def test_managed_table_chores(spark, tmp_path):
     sinks.describe_tables(spark, {"chores.t": "it's a table"})
     assert spark.catalog.getTable("chores.t").description == "it's a table"
     spark.sql("DROP TABLE chores.t")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS chores")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = sinks.write_bucketed(spark.range(50).withColumnRenamed("id", "order_id"), "chores.orders_b", "order_id", 4)
+        lines = spark.range(200).select((F.col("id") % 50).alias("order_id"), F.col("id").alias("line"))
+        b = sinks.write_bucketed(lines, "chores.lines_b", "order_id", 4)
+        joined = jn.match(b, a, "order_id").groupBy("order_id").agg(F.count("*").alias("n"))
+        assert joined.count() == 50
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE IF EXISTS chores.orders_b")
+        spark.sql("DROP TABLE IF EXISTS chores.lines_b")
+
+
+def test_hot_join_key_keeps_every_row(spark):
+    facts = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    dims = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+    got = jn.enrich(facts, dims, "k").agg(F.count("*").alias("n"), F.count_if(F.col("k") == 7).alias("hot"), F.count("d").alias("d")).first()
+    assert (got.n, got.hot, got.d) == (9000, 3001, 9000)
