@@ -2,7 +2,7 @@
 
 Row rules on one table become one aggregate over one scan. Reference checks on
 the same key share one grouping, and everything that is asked per order comes
-from one ledger grouped by order id, so 36 rules cost a handful of shuffles.
+from one ledger grouped by order id: 36 rules become 17 aggregates in one job.
 """
 
 from __future__ import annotations

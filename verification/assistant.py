@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import text as tx
 from martloom.functions.labels import label_lookup
-from martloom.plans import anomalies, assistant as a, demand, quality as q, reports as h
+from martloom.plans import anomalies, assistant as a, demand, quality as q, reports as h, validation as v
 from martloom.plans.retrieval import search
 from martloom.sources.sinks import tables_per_layer
 from verification.common import Registry
@@ -454,3 +454,35 @@ R.add(
     lambda x: h.managed_live_sales(live_minutes(x)),
     S("SELECT event_minute, channel, order_count, unique_customers, revenue, avg_order_value, last_updated" + _LIVE_TOP),
 )
+
+# --- validation of the assistant and the stream -----------------------------------------------
+
+
+def _named(*names):
+    return [c for c in v.CHECKS if c.name in names]
+
+
+R.add(
+    "v11_routing_evaluation",
+    lambda x: v.check_rows(x.spark, x.t.replacing(evaluation_results=a.evaluate(labelled(x), interactions(x))), x.as_of,
+                           _named("agent_routing_eval")),
+    S(
+        "SELECT 'agent_routing_eval' AS check_name, 'genai' AS category, COUNT(*) AS actual, '0' AS expected FROM routed"
+        " WHERE agent <> expected_agent"
+    ),
+)
+R.add(
+    "v12_live_rows",
+    lambda x: v.check_rows(
+        x.spark,
+        x.t.replacing(live_sales_minute=live_minutes(x), realtime_order_events=x.source["order_events"]),
+        x.as_of,
+        _named("realtime_rows", "available_now_realtime_rows", "available_now_successful_microbatches"),
+    ),
+    S(
+        "SELECT 'realtime_rows' AS check_name, 'streaming' AS category, COUNT(*) AS actual, '>0' AS expected FROM live_minutes"
+        " UNION ALL SELECT 'available_now_realtime_rows', 'streaming', COUNT(*), '>0' FROM src_order_events"
+        " UNION ALL SELECT 'available_now_successful_microbatches', 'streaming', COUNT(*), '>0' FROM src_streaming_metrics"
+        " WHERE status = 'SUCCEEDED'"
+    ),
+)
