@@ -4,14 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import mixing, pii, sharding
+from martloom.llm import bpe, langid, mixing, pii, sharding, simhash, syncmers, toxicity
 from martloom.llm.common import table
 
 
+def op1_naive_bayes_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op3_closed_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.compare_with_next(table(spark, folder, "documents"))
+
+
+def op4_two_tier_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode(table(spark, folder, "documents"))
+
+
+def op6_bit_sliced_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op8_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"), 40)
 
@@ -20,5 +36,21 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_curriculum_mix, op8_virtual_slots, op9_personal_data)}
+def op10_language_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_naive_bayes_toxicity,
+        op2_curriculum_mix,
+        op3_closed_syncmers,
+        op4_two_tier_bpe,
+        op6_bit_sliced_simhash,
+        op8_virtual_slots,
+        op9_personal_data,
+        op10_language_spans,
+    )
+}
 ORACLE: dict[str, str] = {}
