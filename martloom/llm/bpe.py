@@ -17,7 +17,7 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,6 +106,7 @@ class Encoder(dict):
         self.vocabulary = vocabulary
         self.split = regex.compile(pattern).findall
         self.perfect = PerfectHash(vocabulary)
+        self.ranks = {entry: rank for rank, entry in enumerate(vocabulary)}  # of pairs, in the second tier
         self.longest = max(map(len, vocabulary))
 
     def __missing__(self, piece: str) -> bytes:
@@ -117,17 +118,17 @@ class Encoder(dict):
 
     def merge(self, raw: bytes) -> list[int]:
         """Ids of bytes that are no entry as a whole."""
-        n, find, longest = len(raw), self.perfect.find, self.longest
+        n, ranks, longest = len(raw), self.ranks, self.longest
         end = list(range(1, n + 1))  # of the part that starts here; 0: no part starts here any more
         before = list(range(-1, n))  # start of the part before the one that starts here
-        heap = []
+        pairs = ((ranks.get(raw[i : i + 2]), i, i + 2) for i in range(n - 1))
+        heap = [p for p in pairs if p[0] is not None]
+        heapq.heapify(heap)
 
         def propose(start: int, stop: int) -> None:
-            if stop - start <= longest and (rank := find(raw[start:stop])) >= 0:
+            if stop - start <= longest and (rank := ranks.get(raw[start:stop])) is not None:
                 heapq.heappush(heap, (rank, start, stop))
 
-        for i in range(n - 1):
-            propose(i, i + 2)
         while heap:
             _, start, stop = heapq.heappop(heap)
             middle = end[start]
@@ -141,7 +142,7 @@ class Encoder(dict):
                 propose(before[start], stop)
         ids, at = [], 0
         while at < n:
-            ids.append(find(raw[at : end[at]]))
+            ids.append(ranks[raw[at : end[at]]])
             at = end[at]
         return ids
 
@@ -228,6 +229,3 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     e = docs.select("doc_id", encoded(F.col("text"), vocabulary, with_ids=False).alias("e"))
     return e.select("doc_id", "e.n_tokens", "e.ids_sha256", "e.decoded_sha256")
 
-
-def count_vocabulary(spark: SparkSession, vocabulary: str = VOCABULARY) -> int:
-    return len(read_vocabulary(public_tokenizers.path(vocabulary)))
