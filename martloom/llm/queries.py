@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import bpe, langid, mixing, pii, sharding, simhash, syncmers, toxicity
+from martloom.llm import bpe, langid, mixing, neighbours, pii, sharding, simhash, syncmers, toxicity, warc
 from martloom.llm.common import table
 
 
@@ -24,10 +24,18 @@ def op4_two_tier_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"))
 
 
+def op5_kmeans_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
 def op6_bit_sliced_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, folder, "pages")))
+
+
 def op8_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"), 40)
 
@@ -47,10 +55,12 @@ QUERIES = {
         op2_curriculum_mix,
         op3_closed_syncmers,
         op4_two_tier_bpe,
+        op5_kmeans_tree,
         op6_bit_sliced_simhash,
+        op7_warc_derivatives,
         op8_virtual_slots,
         op9_personal_data,
         op10_language_spans,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op7_warc_derivatives": warc.ORACLE}

@@ -62,25 +62,34 @@ def rebalance(shard_of: Sequence[int], weights: Sequence[int], shards: int) -> l
 
     for slot in sorted(homeless, key=lambda s: (-weights[s], s)):
         put(slot, min(range(shards), key=lambda s: (load[s], s)))
-    while True:
-        high = max(range(shards), key=lambda s: (load[s], -s))
+    def step() -> bool:
+        """One move or swap from the fullest shard that can give something to the emptiest."""
         low = min(range(shards), key=lambda s: (load[s], s))
-        gap = load[high] - load[low]
-        moves = [(weights[a], a, None) for a in members[high] if 0 < weights[a] < gap]
-        moves += [
-            (weights[a] - weights[b], a, b)
-            for a in members[high]
-            for b in members[low]
-            if 0 < weights[a] - weights[b] < gap
-        ]
-        if not moves:
-            return result
-        _, a, b = min(moves, key=lambda m: (abs(2 * m[0] - gap), m[1], -1 if m[2] is None else m[2]))
-        take(a)
-        if b is not None:
-            take(b)
-            put(b, high)
-        put(a, low)
+        for high in sorted(range(shards), key=lambda s: (-load[s], s)):
+            gap = load[high] - load[low]
+            if gap <= 0:
+                return False
+            moves = [(weights[a], a, None) for a in members[high] if 0 < weights[a] < gap]
+            moves += [
+                (weights[a] - weights[b], a, b)
+                for a in members[high]
+                for b in members[low]
+                if 0 < weights[a] - weights[b] < gap
+            ]
+            if not moves:
+                continue  # one heavy slot: nothing of it can move
+            _, a, b = min(moves, key=lambda m: (abs(2 * m[0] - gap), m[1], -1 if m[2] is None else m[2]))
+            take(a)
+            if b is not None:
+                take(b)
+                put(b, high)
+            put(a, low)
+            return True
+        return False
+
+    while step():
+        pass
+    return result
 
 
 def map_frame(spark: SparkSession, version: int, shard_of: Sequence[int], first: Sequence[int]) -> DataFrame:

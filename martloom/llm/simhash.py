@@ -110,7 +110,7 @@ def near_pairs(values: np.ndarray, radius: int = RADIUS) -> np.ndarray:
                 alive, low, high, over = alive[keep], low[keep], high[keep], over[keep]
                 if not len(alive):
                     break
-    near = np.zeros((n, n), bool)
+    near = np.eye(n, dtype=bool)
     if len(alive):
         # two counter bits hold 0 to 3; a third bit is lost into `over`
         within = ~over

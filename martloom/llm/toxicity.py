@@ -122,11 +122,10 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fit_one(frame: pd.DataFrame) -> pd.DataFrame:
     """The regression itself, on the bounded sample: one row of features, weights and intercept."""
     y = frame["toxic"].to_numpy().astype(float)
-    sizes = np.array([len(i) for i in frame["ids"]])
-    flat = np.concatenate([np.asarray(i) for i in frame["ids"]]) if len(frame) else np.zeros(0, np.int32)
-    row = np.repeat(np.arange(len(y)), sizes)
-    p = np.bincount(flat, y[row], minlength=1 << BITS)
-    q = np.bincount(flat, 1 - y[row], minlength=1 << BITS)
+    size = 1 << BITS
+    p, q = np.zeros(size), np.zeros(size)
+    for ids, toxic in zip(frame["ids"], y, strict=True):  # each feature once in a document
+        (p if toxic else q)[ids] += 1
     ones, zeros = max(y.sum(), 1), max((1 - y).sum(), 1)
     ratio = np.log((p + 1) / (p + 1).sum()) - np.log((q + 1) / (q + 1).sum())
     # how far the shares of documents with the feature lie apart, in standard errors
@@ -135,10 +134,11 @@ def _fit_one(frame: pd.DataFrame) -> pd.DataFrame:
     apart[p + q < LEAST] = 0
     kept = np.argsort(-apart, kind="stable")[:FEATURES]
     kept = np.sort(kept[apart[kept] > 0])
-    place = np.full(1 << BITS, -1)
+    place = np.full(size, -1, np.int32)
     place[kept] = np.arange(len(kept))
-    use = place[flat] >= 0
-    row, col = row[use], place[flat[use]]
+    cols = [c[c >= 0] for c in (place[ids] for ids in frame["ids"])]
+    row = np.repeat(np.arange(len(y)), [len(c) for c in cols])
+    col = np.concatenate(cols) if cols else np.zeros(0, np.int64)
     value = ratio[kept][col]
     w, b = np.zeros(len(kept)), 0.0
     # gradient descent with momentum; the step suits the largest curvature
