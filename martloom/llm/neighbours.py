@@ -8,6 +8,7 @@ visits so many leaves as a calibration against exact search has shown to be enou
 from __future__ import annotations
 
 import heapq
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ BRANCH, LEAF = 16, 64
 ROUNDS = 8
 #: Queries that the number of leaves is calibrated on, at most about, and the recall to reach.
 CALIBRATE, RECALL = 64, 0.97
-#: Vectors of a leaf that are compared in one piece.
+#: Vectors that one task compares, about.
 BLOCK = 4096
 
 
@@ -179,12 +180,11 @@ def _compare(k: int):
     def compare(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(members):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, vectors = members["vec_id"].to_numpy(), np.stack(members["v"].to_numpy())
-        rows = [
-            (q, v, s)
-            for q, query in zip(queries["query_id"], queries["q"], strict=True)
-            for v, s in _nearest(np.asarray(query), ids, vectors, q, k)
-        ]
+        ids, leaf, vectors = members["vec_id"].to_numpy(), members["leaf"].to_numpy(), np.stack(members["v"].to_numpy())
+        rows = []
+        for q, query, leaves in zip(queries["query_id"], queries["q"], queries["leaves"], strict=True):
+            seen = np.isin(leaf, leaves)
+            rows += [(q, v, s) for v, s in _nearest(np.asarray(query), ids[seen], vectors[seen], q, k)]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
 
     return compare
@@ -193,17 +193,19 @@ def _compare(k: int):
 @dataclass
 class Index:
     tree: Tree
-    #: vec_id, v, leaf, block: all vectors.
+    #: vec_id, v, leaf: all vectors.
     members: DataFrame
-    #: leaf, blocks
-    blocks: DataFrame
+    #: Shelf of each leaf, and into how many blocks each shelf is cut.
+    shelf: list[int]
+    blocks: list[int]
 
 
 def make_index(vectors: DataFrame, sample: int = SAMPLE) -> Index:
     """Fit the tree on about `sample` vectors and put all of them into its leaves.
 
-    A leaf with many vectors is cut into blocks by a hash of the id, so no task holds more
-    than about BLOCK of them, whatever share of the input is equal.
+    Neighbouring leaves share a shelf of about BLOCK vectors, which is what one task
+    compares. A leaf with more is a shelf of its own, cut into blocks by a hash of the
+    id, so no task holds much more than BLOCK vectors, whatever share of the input is equal.
     """
     kept = materialize(usable(vectors), "vectors")
     total = kept.count()
@@ -219,38 +221,56 @@ def make_index(vectors: DataFrame, sample: int = SAMPLE) -> Index:
             )
 
     placed = materialize(kept.mapInArrow(place, "vec_id long, v array<double>, leaf int"), "leaves")
-    blocks = placed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    return Index(tree, placed, blocks)
+    # the sample bounds the number of leaves
+    sizes = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+    shelf, blocks, held = [], [], 0
+    for leaf in range(tree.leaves):
+        size = sizes.get(leaf, 0)
+        if not blocks or held + size > BLOCK:
+            blocks.append(1)
+            held = 0
+        held += size
+        blocks[-1] = max(1, -(-held // BLOCK))
+        shelf.append(len(blocks) - 1)
+    return Index(tree, placed, shelf, blocks)
 
 
 def search(index: Index, queries: DataFrame, k: int, visits: int) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest vectors found in the first `visits` leaves of each query."""
-    tree = index.tree
+    tree, shelf, blocks = index.tree, index.shelf, index.blocks
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            orders = [tree.order(q, visits) for q in _matrix(batch.column("v"))]
+            rows = []
+            for q, vector in zip(batch.column("vec_id").to_pylist(), _matrix(batch.column("v")), strict=True):
+                asked: dict[int, list[int]] = {}
+                for leaf in tree.order(vector, visits):
+                    asked.setdefault(shelf[leaf], []).append(leaf)
+                rows += [(q, vector, own, leaves, b) for own, leaves in asked.items() for b in range(blocks[own])]
+            q, vector, own, leaves, b = zip(*rows, strict=True) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), pa.array(orders, pa.list_(pa.int32()))], ["query_id", "q", "leaf"]
-            )
+                [pa.array(q, pa.int64()), pa.array(vector, pa.list_(pa.float64())), pa.array(own, pa.int32()),
+                 pa.array(leaves, pa.list_(pa.int32())), pa.array(b, pa.int32())],
+                ["query_id", "q", "shelf", "leaves", "block"],
+            )
 
-    routed = queries.select("vec_id", "v").mapInArrow(route, "query_id long, q array<double>, leaf array<int>")
-    # the tree has a bounded number of leaves, so this table is small
-    blocks = F.broadcast(index.blocks)
-    asked = (
-        routed.withColumn("leaf", F.explode("leaf"))
-        .join(blocks, "leaf")
-        .select("query_id", "q", "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    asked = queries.select("vec_id", "v").mapInArrow(
+        route, "query_id long, q array<double>, shelf int, leaves array<int>, block int"
+    )
+    rows = F.from_json(
+        F.lit(json.dumps([{"leaf": n, "shelf": s, "blocks": blocks[s]} for n, s in enumerate(shelf)])),
+        "array<struct<leaf:int,shelf:int,blocks:int>>",
     )
-    members = index.members.join(blocks, "leaf").select(
-        "vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block")
+    places = index.members.sparkSession.range(1).select(F.explode(rows).alias("p")).select("p.*")
+    members = index.members.join(F.broadcast(places), "leaf").select(
+        "vec_id", "v", "leaf", "shelf", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block")
     )
-    pairs = asked.groupBy("leaf", "block").cogroup(members.groupBy("leaf", "block"))
+    pairs = asked.groupBy("shelf", "block").cogroup(members.groupBy("shelf", "block"))
     return _ranked(pairs.applyInPandas(_compare(k), FOUND), k)
 
 
 def calibrate(index: Index, queries: DataFrame, k: int, recall: float = RECALL, sample: int = CALIBRATE) -> int:
-    """How many leaves to visit: doubled until the sample's recall against exact search is reached.
+    """How many leaves to visit: a quarter more at a time, until the sample's recall against exact search is reached.
 
     All leaves give exact results, so this ends. The sample's queries are chosen by hash.
     """
@@ -267,7 +287,7 @@ def calibrate(index: Index, queries: DataFrame, k: int, recall: float = RECALL,
     needed = np.array([turns[r.query_id][r.leaf] for r in leaf_of])
     visits = 1
     while visits < index.tree.leaves and (needed < visits).mean() < recall:
-        visits = min(visits * 2, index.tree.leaves)
+        visits = min(visits + max(1, visits // 4), index.tree.leaves)
     return visits
 
 
