@@ -121,7 +121,7 @@ def metric_for(text: Column) -> Column:
 def sql_refusal(sql: Column) -> Column:
     """Why a SQL text may not run; NULL for one read-only SELECT or WITH."""
     # TRIM alone leaves tabs and line ends
-    q = F.regexp_replace(sql, r"^\s+|\s+$", "")
+    q = F.regexp_replace(F.coalesce(sql, F.lit("")), r"^\s+|\s+$", "")
     first = F.upper(F.regexp_extract(q, r"^\S+", 0))
     single = first.isin("SELECT", "WITH") & ~F.regexp_replace(q, ";+$", "").contains(";")
     return F.when(~single, "not a single SELECT or WITH").when(tx.mentions_forbidden_sql(q), "mutating statement")

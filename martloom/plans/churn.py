@@ -96,7 +96,7 @@ def metrics(scored: DataFrame) -> dict[str, float]:
     def area(kind: str) -> float:
         if not both:
             return 0.0
-        return BinaryClassificationEvaluator(labelCol="churn_label", metricName=kind).evaluate(scored)
+        return BinaryClassificationEvaluator(labelCol="churn_label", metricName=kind, numBins=0).evaluate(scored)
 
     precision = row.tp / (row.tp + row.fp) if row.tp + row.fp else 0.0
     recall = row.tp / (row.tp + row.fn) if row.tp + row.fn else 0.0

@@ -16,11 +16,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from martloom.operators.ordering import exact_percentiles
 from martloom.operators.windows import first_per_group
 from martloom.session import materialize
 
 TREES, SAMPLE, CONTAMINATION, SEED = 150, 256, 0.05, 42
-POOL_FACTOR = 80  # pooled rows per sampled row of one tree
+DRAWS = 4  # expected drawn rows per sampled row of one tree
 NODE_SCHEMA = "tree int, node int, feature int, cut double, below int, above int, depth double"
 
 
@@ -45,14 +46,19 @@ def path_correction(n: float) -> float:
 
 
 def tree_samples(df: DataFrame, key: str, features: Sequence[str], trees: int, sample: int) -> DataFrame:
-    """`sample` rows for each tree, drawn by hash from a pool whose size does not depend on the data's."""
-    wanted = sample * POOL_FACTOR
+    """`sample` rows for each tree, drawn from all rows by a hash of the key and the tree.
+
+    Each tree has a draw of its own, so any row can reach any tree, and about
+    `DRAWS * trees * sample` rows leave the scan whatever the data's size.
+    """
     total = df.count()
-    share = min(1.0, wanted / total) if total else 1.0
-    buckets = 1_000_000
-    hashed = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(buckets))
-    pool = df.where(hashed < F.lit(max(1, int(np.ceil(share * buckets))))).select(key, *features)
-    spread = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    space = 1 << 62
+    limit = F.lit(int(space * min(1.0, DRAWS * sample / max(total, 1))))
+    drawn = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: F.pmod(F.xxhash64(F.col(key), tree, F.lit(SEED)), F.lit(space)) < limit,
+    )
+    spread = df.select(key, *features).withColumn("tree", F.explode(drawn))
     order = [F.xxhash64(F.col(key), F.col("tree"), F.lit(SEED)).asc(), F.col(key).asc()]
     return first_per_group(spread, ["tree"], order, sample)
 
@@ -138,6 +144,6 @@ def anomaly_scores(
     """(key, anomaly_score_raw, is_anomaly): scores above the contamination cut are positive and flagged."""
     forest = grow_forest(df, key, features, trees, sample)
     scored = materialize(score_rows(df, forest, key, features), "isolation")
-    cut = scored.agg(F.percentile_approx("isolation", 1.0 - contamination, 100_000)).first()[0]
+    cut = exact_percentiles(scored, "isolation", [1.0 - contamination]).first()[0]
     raw = F.col("isolation") - F.lit(cut)
     return scored.select(key, raw.alias("anomaly_score_raw"), (raw > 0).cast("int").alias("is_anomaly"))

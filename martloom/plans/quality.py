@@ -11,7 +11,6 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom.functions import money as m
@@ -233,7 +232,7 @@ def dataset_counts(spark: SparkSession, t: Tables, rules: Sequence[Rule]) -> Dat
     for name in dict.fromkeys(r.dataset for r in rules if r.enabled):
         try:
             rows = t[name].agg(F.count(F.lit(1)).alias("total_records"))
-        except (KeyError, PySparkException):
+        except Exception:  # a failed read arrives in many forms
             rows = spark.createDataFrame([(0,)], "total_records long")
         parts.append(rows.select(F.lit(name).alias("dataset"), "total_records"))
     return reduce(DataFrame.unionByName, parts)
@@ -256,12 +255,12 @@ def counts_with_errors(
     errors: dict[str, str] = {}
     try:
         rows = [tuple(x) for x in violation_counts(spark, t, active, as_of, with_rows=True).collect()]
-    except (KeyError, ValueError, PySparkException):
+    except Exception:  # a task that fails while reading raises no PySparkException
         rows = [(ROWS + r.dataset, r.total_records) for r in dataset_counts(spark, t, active).collect()]
         for r in active:
             try:
                 rows += [tuple(x) for x in violation_counts(spark, t, [r], as_of).collect()]
-            except (KeyError, ValueError, PySparkException) as e:
+            except Exception as e:
                 errors[r.rule_id] = str(e)[:200]
     totals = [(name.removeprefix(ROWS), n) for name, n in rows if name.startswith(ROWS)]
     counts = [(name, n) for name, n in rows if not name.startswith(ROWS)]

@@ -121,11 +121,11 @@ def run_checks(
     done, broken = [], []
     try:
         done = check_rows(spark, t, as_of, checks).withColumn("status", verdict()).collect()
-    except (KeyError, PySparkException):
+    except Exception:  # a task that fails while reading raises no PySparkException
         for c in checks:
             try:
                 done += check_rows(spark, t, as_of, [c]).withColumn("status", verdict()).collect()
-            except (KeyError, PySparkException) as e:
+            except Exception as e:
                 broken.append((c.name, c.category, c.if_missing, "ERROR", c.expected, str(e)[:1000], run_id, at))
     rows = [(r.check_name, r.category, r.status, str(r.actual), r.expected, "", run_id, at) for r in done]
     return spark.createDataFrame(rows + broken, SCHEMA)

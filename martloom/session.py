@@ -40,10 +40,13 @@ def get_session(app: str = "martloom", master: str | None = None, **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by the cluster.
 
-    A folder of our own is made only where the setting is missing (tests).
+    A folder of our own is made only where the setting is missing and everything runs
+    on this machine (tests); on a cluster a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="martloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

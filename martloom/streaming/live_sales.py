@@ -43,8 +43,12 @@ METRIC_SCHEMA = (
 SLOTS = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
 
 
+NO_TIME = "unknown"
+
+
 def slot(ts, grain: str = "day") -> Column:
-    return F.date_format(ts, SLOTS[grain])
+    # rows without a readable time need a slot that a filter on slots can name
+    return F.coalesce(F.date_format(ts, SLOTS[grain]), F.lit(NO_TIME))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -81,7 +85,8 @@ def accepted_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Batch rows that are new or at least as recent as the stored row of the same order."""
     newest = stored.groupBy("order_id").agg(F.max("event_time").alias("_stored_at"))
     joined = batch.join(newest, "order_id", "left")
-    return joined.where(F.col("_stored_at").isNull() | (F.col("event_time") >= F.col("_stored_at"))).drop("_stored_at")
+    newer = F.col("_stored_at").isNull() | (F.col("event_time") >= F.col("_stored_at"))
+    return joined.where(newer).drop("_stored_at")
 
 
 def touched_keys(accepted: DataFrame, stored: DataFrame) -> DataFrame:
@@ -93,7 +98,7 @@ def touched_keys(accepted: DataFrame, stored: DataFrame) -> DataFrame:
 
 def slots_of(df: DataFrame, column: str = "event_slot") -> list[str]:
     """Distinct slots of a batch: partition names, not data."""
-    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+    return sorted(r[0] for r in df.select(column).distinct().collect())
 
 
 def replace_slots(spark: SparkSession, merged: DataFrame, path: str, slots: list[str]) -> None:
