@@ -1,23 +1,29 @@
 """Exact money at the speed of primitives.
 
-Amounts are DOUBLE columns holding whole cents. Whatever is added up or
-multiplied goes through BIGINT cents, so totals do not depend on the order of
-the rows, and halves round away from zero. An overflow raises an error.
+Amounts are DOUBLE columns holding whole cents. Whatever is added up goes
+through BIGINT cents or parts of cents, so totals do not depend on the order of
+the rows, and halves round away from zero. An amount that is not a number, not
+finite or too large for BIGINT raises an error.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-RATE_UNITS = 10_000  # rates keep four decimals
+UNITS = 1_000_000  # parts of a cent in products and sums that are rounded later
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _whole(x: Column) -> Column:
+    """The nearest BIGINT. In ANSI mode, which `session.RUNTIME_CONF` asks for, the cast refuses what does not fit."""
+    return F.rint(x).cast("bigint")
+
+
 def cents(c) -> Column:
-    return F.floor(_col(c) * 100 + 0.5).cast("bigint")
+    return _whole(F.round(_col(c), 2) * 100)
 
 
 def dollars(whole_cents: Column) -> Column:
@@ -29,10 +35,6 @@ def money(c) -> Column:
     return dollars(cents(c))
 
 
-def rate_units(c) -> Column:
-    return F.floor(_col(c) * RATE_UNITS + 0.5).cast("bigint")
-
-
 def divide(numerator: Column, denominator: Column) -> Column:
     """Integer quotient, halves away from zero; NULL unless the denominator is positive."""
     n, d = numerator.cast("bigint"), denominator.cast("bigint")
@@ -45,18 +47,23 @@ def total(c) -> Column:
     return F.sum(cents(c))
 
 
+def line_total_units(line_total="line_total") -> Column:
+    """Total of one line in millionths of a cent, so that rounding happens after the sum."""
+    return _whole(_col(line_total) * (100 * UNITS))
+
+
 def line_discount_units(line_total="line_total", discount_pct="discount_pct") -> Column:
-    """Discount of one line in ten-thousandths of a cent, so that rounding happens after the sum."""
-    return cents(line_total) * rate_units(discount_pct)
+    """Discount of one line in millionths of a cent. Only the product is rounded, never the rate."""
+    return _whole(_col(line_total) * _col(discount_pct) * (100 * UNITS))
 
 
 def units_to_cents(units: Column) -> Column:
-    return divide(units, F.lit(RATE_UNITS))
+    return divide(units, F.lit(UNITS))
 
 
 def line_net(line_total="line_total", discount_pct="discount_pct") -> Column:
     """Cents of one line after its discount."""
-    return units_to_cents(cents(line_total) * (F.lit(RATE_UNITS) - rate_units(discount_pct)))
+    return units_to_cents(_whole(_col(line_total) * (F.lit(1.0) - _col(discount_pct)) * (100 * UNITS)))
 
 
 def tax_on(net_cents: Column, percent: int = 8) -> Column:

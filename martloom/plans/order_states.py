@@ -12,6 +12,7 @@ from martloom.functions.dates import age_days, as_date
 from martloom.operators.joins import enrich, match, missing
 from martloom.operators.windows import numbered, running_total
 from martloom.plans.quality import eligible_purchases
+from martloom.session import materialize
 
 Tables = Mapping[str, DataFrame]
 
@@ -100,16 +101,26 @@ def eligible_pairs(t: Tables, as_of: dt.date) -> DataFrame:
     return pairs.distinct()
 
 
-def select_returns(t: Tables, as_of: dt.date, quota: int) -> DataFrame:
+def select_returns(t: Tables, as_of: dt.date, quota: int, every_returned: bool = True) -> DataFrame:
     """One approved return for every returned order, then other eligible pairs until the quota is full.
 
-    The rest is taken in the order of a hash, so the choice looks random and repeats.
+    The rest is taken in the order of a hash, so the choice looks random and repeats. A quota that cannot
+    be filled is an error, and so is a returned order without an eligible product unless `every_returned`
+    is False; such orders then get no return.
     """
-    pairs = eligible_pairs(t, as_of)
+    pairs = materialize(eligible_pairs(t, as_of), "eligible-pairs")
     forced = pairs.where(F.col("status") == "Returned").groupBy("order_id").agg(F.min("product_id").alias("product_id"))
     n_forced = forced.count()
     if n_forced > quota:
         raise ValueError(f"{n_forced} returned orders do not fit a quota of {quota} returns")
+    if every_returned:
+        asked = t["orders"].where(F.col("status") == "Returned").select("order_id")
+        lacking = missing(asked, forced, ["order_id"]).count()
+        if lacking:
+            raise ValueError(f"{lacking} returned orders have no eligible product")
+    n_pairs = pairs.count()
+    if n_pairs < quota:
+        raise ValueError(f"{n_pairs} eligible pairs do not fill a quota of {quota} returns")
     rest = missing(pairs.select("order_id", "product_id"), forced, ["order_id", "product_id"])
     key = F.md5(F.concat_ws("-", F.col("order_id").cast("string"), F.col("product_id").cast("string")))
     placed = numbered(rest.withColumn("_key", key), [F.col("_key").asc(), F.col("order_id"), F.col("product_id")])

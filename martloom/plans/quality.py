@@ -44,7 +44,8 @@ def _predicate(text: str, as_of: dt.date) -> Column:
 def line_totals(t: Tables) -> DataFrame:
     """Gross and discount per order, in cents."""
     return t["order_items"].groupBy("order_id").agg(
-        m.total("line_total").alias("line_gross"), m.units_to_cents(F.sum(m.line_discount_units())).alias("line_discounts")
+        m.units_to_cents(F.sum(m.line_total_units())).alias("line_gross"),
+        m.units_to_cents(F.sum(m.line_discount_units())).alias("line_discounts"),
     )
 
 

@@ -80,12 +80,15 @@ RULES: tuple[Rule, ...] = (
     Rule("QR024", "customers", "country", "validity", "warning", 5.0,
          "where: length(country) <> 2", "countries are two-letter codes"),
     Rule("QR025", "orders", "order_total", "consistency", "error", 0.0,
-         "header: abs(floor(order_total * 100 + 0.5D) - line_gross) > 1", "header totals equal the sum of the lines"),
+         "header: coalesce(abs(try_cast(order_total AS decimal(30,6)) * 100 - line_gross) > 1, order_total IS NOT NULL)",
+         "header totals equal the sum of the lines"),
     Rule("QR026", "orders", "discount_amount", "consistency", "error", 0.0,
-         "header: abs(floor(discount_amount * 100 + 0.5D) - line_discounts) > 1", "header discounts equal the line discounts"),
+         "header: coalesce(abs(try_cast(discount_amount AS decimal(30,6)) * 100 - line_discounts) > 1, discount_amount IS NOT NULL)",
+         "header discounts equal the line discounts"),
     Rule("QR027", "orders", "tax_amount", "consistency", "error", 0.0,
-         "where: abs(floor(tax_amount * 100 + 0.5D) - floor((floor(order_total * 100 + 0.5D)"
-         " - floor(discount_amount * 100 + 0.5D)) * 8 / 100.0D + 0.5D)) > 1",
+         "where: coalesce(abs(try_cast(tax_amount AS decimal(30,6)) - round((try_cast(order_total AS decimal(30,6))"
+         " - try_cast(discount_amount AS decimal(30,6))) * 0.08, 2)) > 0.01,"
+         " tax_amount + order_total + discount_amount IS NOT NULL)",
          "tax is 8% of gross less discount"),
     Rule("QR028", "returns", "product_id", "referential_integrity", "critical", 0.0,
          "rows: return_without_line", "returned products were on the order"),

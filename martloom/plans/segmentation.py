@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +16,8 @@ from martloom.functions.labels import label_lookup
 from martloom.session import stored_model
 
 FEATURES = ("total_revenue", "total_orders", "days_since_last_order", "loyalty_points")
-K_RANGE, SEED = range(2, 7), 42
+K_RANGE, SEED, STARTS, PARALLEL = range(2, 7), 42, 20, 8
+ROWS_PER_PART = 20_000
 # Segment names from the lowest to the highest value.
 NAMES = {
     2: ("Low Value", "High Value"),
@@ -49,27 +52,44 @@ def labels_by_value(profile: DataFrame, k: int) -> dict[int, str]:
     return {r["cluster"]: NAMES[k][i] for i, r in enumerate(ordered)}
 
 
-def fit_segments(customers: DataFrame, ks=K_RANGE) -> Segmentation:
+def best_start(scaled: DataFrame, k: int, starts: int) -> tuple[KMeansModel, float]:
+    """The model of least cost among several starts, each with a seed of its own; ties go to the earlier one.
+
+    An iteration is a short job, so some starts run side by side.
+    """
+
+    def fit(seed: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed, maxIter=300, predictionCol="cluster", featuresCol="features").fit(scaled)
+
+    with ThreadPool(PARALLEL) as pool:
+        fits = pool.map(inheritable_thread_target(fit), range(SEED, SEED + starts))
+    best = min(fits, key=lambda model: model.summary.trainingCost)
+    return best, float(best.summary.trainingCost)
+
+
+def fit_segments(customers: DataFrame, ks=K_RANGE, starts: int = STARTS) -> Segmentation:
     """Try every k on the scaled features and keep the one with the best silhouette.
 
     Spark's silhouette needs only per-cluster sums, so all rows take part.
     """
     scaling = Pipeline(stages=_scaler()).fit(customers)
-    scaled = scaling.transform(customers).select("customer_id", *FEATURES, "features").cache()
+    # an iteration is one job over all parts: few rows in many parts would only cost scheduling
+    parts = max(1, -(-customers.count() // ROWS_PER_PART))
+    scaled = scaling.transform(customers).select("customer_id", *FEATURES, "features").repartition(parts).cache()
     trials, fitted = [], {}
     judge = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
-    for k in ks:
-        fit = KMeans(k=k, seed=SEED, maxIter=50, predictionCol="cluster", featuresCol="features").fit(scaled)
-        cost = float(fit.summary.trainingCost)
-        model = stored_model(customers.sparkSession, fit, "segments")
-        found = model.transform(scaled)
-        filled = found.select("cluster").distinct().count()
-        score = judge.evaluate(found) if filled > 1 else 0.0
-        trials.append((k, float(score), cost))
-        fitted[k] = model
-    k = max(trials, key=lambda x: x[1])[0]
-    labels = labels_by_value(cluster_profile(fitted[k].transform(scaled)), k)
-    scaled.unpersist()
+    try:
+        for k in ks:
+            fit, cost = best_start(scaled, k, starts)
+            filled = sum(size > 0 for size in fit.summary.clusterSizes)
+            model = stored_model(customers.sparkSession, fit, "segments")
+            score = judge.evaluate(model.transform(scaled)) if filled > 1 else 0.0
+            trials.append((k, float(score), cost))
+            fitted[k] = model
+        k = max(trials, key=lambda x: x[1])[0]
+        labels = labels_by_value(cluster_profile(fitted[k].transform(scaled)), k)
+    finally:
+        scaled.unpersist()
     return Segmentation(k, PipelineModel([*scaling.stages, fitted[k]]), labels, trials)
 
 

@@ -125,7 +125,8 @@ def reconciled_orders(t: Tables) -> DataFrame:
     An order without lines keeps the header it came with.
     """
     lines = t["order_items"].groupBy("order_id").agg(
-        m.total("line_total").alias("_gross"), m.units_to_cents(F.sum(m.line_discount_units())).alias("_discount")
+        m.units_to_cents(F.sum(m.line_total_units())).alias("_gross"),
+        m.units_to_cents(F.sum(m.line_discount_units())).alias("_discount"),
     )
     o = enrich(t["orders"], lines, "order_id")
     has_lines = F.col("_gross").isNotNull()

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # live session, so `configure` also works on a session somebody else built.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Casts and sums that do not fit raise errors.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Split hot join keys even when that costs an extra shuffle afterwards.
@@ -45,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="martloom-")
         spark.conf.set("spark.checkpoint.dir", folder)

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from martloom.functions import dates, labels, money as m, text as tx
@@ -65,6 +66,20 @@ def test_exact_line_discount_sum(spark):
     assert df.agg(m.units_to_cents(F.sum(m.line_discount_units()))).first()[0] == 2
 
 
+def test_rates_are_not_rounded(spark):
+    df = spark.createDataFrame([(1_000_000.0, 0.33333), (10.0, 0.123456789)], "line_total double, discount_pct double")
+    assert values(df.select(m.line_net().alias("v"))) == [66_667_000, 877]
+    assert df.limit(1).agg(m.units_to_cents(F.sum(m.line_discount_units()))).first()[0] == 33_333_000
+
+
+def test_halves_of_cents_and_what_is_no_amount(spark):
+    df = one_column(spark, [1.005, -0.005, -1.005, None], "double")
+    assert values(df.select(m.cents("x").alias("v"))) == [101, -1, -101, None]
+    for bad in (float("nan"), float("inf"), 1e300):
+        with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
+            one_column(spark, [bad], "double").select(m.cents("x")).collect()
+
+
 def test_dates(spark):
     df = one_column(spark, ["2024-02-29", "2024-02-30", "junk", None], "string")
     assert values(df.select(dates.as_date("x").alias("v"))) == [dt.date(2024, 2, 29), None, None, None]

@@ -53,6 +53,18 @@ def test_reference_rule_with_null_in_reference_counts_nothing(spark, t):
     assert counts(spark, clean, rules("QR005", "QR011")) == {"QR005": 1, "QR011": 1}
 
 
+def test_headers_are_judged_unrounded(spark):
+    nan = float("nan")
+    headers = [(k, x, 0.0, 0.8) for k, x in enumerate([10.0, 10.01, 10.014, 10.0149, 10.02, nan, None])]
+    t = {
+        "orders": spark.createDataFrame(headers, "order_id int, order_total double, discount_amount double, tax_amount double"),
+        "order_items": spark.createDataFrame([(k, 10.0, 0.0) for k in range(7)], "order_id int, line_total double, discount_pct double"),
+    }
+    assert counts(spark, t, rules("QR025", "QR026", "QR027")) == {"QR025": 4, "QR026": 0, "QR027": 1}
+    taxed = {"orders": spark.createDataFrame([(1, 10.0, 0.0, 0.814)], t["orders"].schema), "order_items": t["order_items"]}
+    assert counts(spark, taxed, rules("QR027")) == {"QR027": 1}
+
+
 def test_fused_counts_equal_single_rule_counts(spark, small):
     t, as_of = retail_tables(spark, small), latest_order_date(spark, small)
     fused = {r.rule_id: r.failed_records for r in q.violation_counts(spark, t, RULES, as_of).collect()}

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.plans import gold, order_states, silver
 from martloom.plans.demand import demand_forecast
@@ -134,6 +135,18 @@ def test_return_quota_too_small(t):
         order_states.select_returns(t, AS_OF, 0)
 
 
+def test_return_quota_that_cannot_be_filled(t):
+    with pytest.raises(ValueError, match="do not fill"):
+        order_states.select_returns(t, AS_OF, 10_000, every_returned=False)
+
+
+def test_returned_order_without_lines_is_an_error(spark, t):
+    lost = {**t, "order_items": t["order_items"].where("false")}
+    returned = {**lost, "orders": t["orders"].withColumn("status", F.lit("Returned"))}
+    with pytest.raises(ValueError, match="no eligible product"):
+        order_states.select_returns(returned, AS_OF, 0)
+
+
 def test_running_stock_flags_a_dip_that_the_total_hides(spark):
     rows = [("a", 1, 1, "sale", -5, "2024-01-01"), ("b", 1, 1, "receipt", 9, "2024-01-02")]
     t = {"inventory_events": spark.createDataFrame(rows, "event_id string, product_id long, warehouse_id long, event_type string, quantity long, event_date string")}

@@ -121,9 +121,9 @@ def matches(x):
 
 
 def interactions(x):
-    names = [n for n in a.METRICS if n != "quality_score"]
-    values = a.metric_values(x.t.replacing(churn_predictions=x.source["customer_scores"],
-                                           anomaly_scores=x.source["customer_scores"]), names)
+    scores = x.source["customer_scores"]
+    kpi = q.data_quality_kpi(q.quality_summary(results(x)), x.as_of)
+    values = a.metric_values(x.t.replacing(churn_predictions=scores, anomaly_scores=scores, data_quality_kpi=kpi), list(a.METRICS))
     return a.respond(x.source["questions"], matches(x), values, AT)
 
 

@@ -31,8 +31,9 @@ def mean(total: str, n: str) -> str:
     return f"CAST({total} AS DOUBLE) / NULLIF({n}, 0)"
 
 
-LINE_DISCOUNT = "CAST(line_total AS DECIMAL(18,2)) * CAST(discount_pct AS DECIMAL(6,4))"
-LINE_NET = money("CAST(line_total AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(6,4)) - CAST(discount_pct AS DECIMAL(6,4)))")
+LINE_TOTAL = "CAST(line_total AS DECIMAL(26,6))"
+LINE_DISCOUNT = f"{LINE_TOTAL} * CAST(discount_pct AS DECIMAL(12,10))"
+LINE_NET = money(f"{LINE_TOTAL} * (CAST(1 AS DECIMAL(12,10)) - CAST(discount_pct AS DECIMAL(12,10)))")
 
 CTES: dict[str, str] = {
     f"src_{name}": re.sub(r"\{(\w+)\}", r"\1", text.replace("EXPLODE_WAREHOUSES", WAREHOUSES["duckdb"])).strip()
@@ -46,7 +47,7 @@ CTES["rec_orders"] = f"""
          CASE WHEN i.gross IS NULL THEN {money('o.tax_amount')}
               ELSE {money('(i.gross - i.discount) * CAST(0.08 AS DECIMAL(4,2))')} END AS tax_amount, o.currency
   FROM src_orders o LEFT JOIN (
-    SELECT order_id, {money(f"SUM({money('line_total')})")} AS gross, {money(f'SUM({LINE_DISCOUNT})')} AS discount
+    SELECT order_id, {money(f"SUM({LINE_TOTAL})")} AS gross, {money(f'SUM({LINE_DISCOUNT})')} AS discount
     FROM src_order_items GROUP BY order_id) i ON o.order_id = i.order_id"""
 CTES["dim_date"] = f"""
   SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date, CAST(year(d) AS INTEGER) AS year,

@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 from martloom.plans import quality as q
 from martloom.plans.quality_rules import RULES
 from verification.common import Registry
-from verification.ctes import AS_OF, LINE_DISCOUNT, money, pct, sql
+from verification.ctes import AS_OF, LINE_DISCOUNT, LINE_TOTAL, money, pct, sql
 
 R = Registry()
 RUN, AT = "run0", dt.datetime(2001, 8, 1)
 TAX = money("(order_total - discount_amount) * CAST(0.08 AS DECIMAL(4,2))")
-_O = f"(SELECT * REPLACE ({money('order_total')} AS order_total, {money('discount_amount')} AS discount_amount, {money('tax_amount')} AS tax_amount) FROM src_orders)"
+_O = "(SELECT * REPLACE (" + ", ".join(
+    f"CAST({c} AS DECIMAL(18,6)) AS {c}" for c in ("order_total", "discount_amount", "tax_amount")
+) + ") FROM src_orders)"
 _LINES = (
-    f"(SELECT order_id, SUM({money('line_total')}) AS gross, {money(f'SUM({LINE_DISCOUNT})')} AS disc"
+    f"(SELECT order_id, {money(f'SUM({LINE_TOTAL})')} AS gross, {money(f'SUM({LINE_DISCOUNT})')} AS disc"
     " FROM src_order_items GROUP BY order_id)"
 )
 

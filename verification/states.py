@@ -70,7 +70,7 @@ _ELIGIBLE = (
 )
 R.add(
     "g28_select_returns",
-    lambda x: s.select_returns(x.t, x.as_of, x.source["orders"].count() // 6),
+    lambda x: s.select_returns(x.t, x.as_of, x.source["orders"].count() // 6, every_returned=False),
     sql(
         "SELECT order_id, product_id, true AS forced FROM forced_pairs UNION ALL"
         " SELECT order_id, product_id, false FROM (SELECT e.order_id, e.product_id, row_number() OVER (ORDER BY"

@@ -55,7 +55,7 @@ def stream_run(x) -> ls.LiveSales:
         live = ls.LiveSales(x.spark, scratch_path(x.spark, "live"))
         feed(x, landing)
         live.run(landing, files_per_trigger=3)
-        land(x.source["order_events"].where("channel = 'store'").coalesce(1), landing)
+        land(x.source["order_events"].where("channel = 'store'"), landing)
         live.run(landing)
         _RUNS[key] = live
     return _RUNS[key]
