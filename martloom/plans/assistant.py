@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from martloom.functions import money as m, text as tx
 from martloom.functions.dates import since
@@ -145,24 +145,30 @@ def supported(agent: Column, status: Column, response: Column) -> Column:
     )
 
 
-def respond(questions: DataFrame, matches: DataFrame, metrics: DataFrame, at: dt.datetime) -> DataFrame:
-    """One interaction row per question. `matches` come from `retrieval.search`, `metrics` from `metric_values`."""
-    places = F.array_sort(F.collect_list(F.struct("place", F.col("document_id").cast("string").alias("id"))))
-    listed = matches.groupBy("question_id").agg(places.alias("_places")).select(
-        "question_id",
-        F.array_join(F.transform("_places", lambda x: F.concat(F.lit("["), x["id"], F.lit("]"))), " | ").alias("_docs"),
-        F.array_join(F.transform("_places", lambda x: x["id"]), ",").alias("_ids"),
-    )
-    q = answers(questions).join(listed, "question_id", "left").join(metrics, "metric", "left")
+def respond(
+    questions: DataFrame, passages: DataFrame, lines: DataFrame, at: dt.datetime, elapsed_ms: float | None = None
+) -> DataFrame:
+    """One interaction row per question.
+
+    `passages` come from `retrieval.passages`, `lines` from `answer_lines`. The questions are answered together, so
+    `elapsed_ms` is the time of one question where the caller has measured it, and NULL where not.
+    """
+    ident = F.col("document_id").cast("string")
+    piece = F.concat(F.lit("["), ident, F.lit("] "), F.coalesce("title", F.lit("")), F.lit(": "),
+                     tx.preview(F.coalesce("chunk_text", F.lit("")), 180))
+    places = F.array_sort(F.collect_list(F.struct("place", ident.alias("id"), piece.alias("piece"))))
+    listed = passages.groupBy("question_id").agg(places.alias("_places")).select(
+        "question_id", F.array_join(F.col("_places")["piece"], " | ").alias("_docs"),
+        F.array_join(F.col("_places")["id"], ",").alias("_ids"),
+    )
+    topic = F.when(F.col("agent") == "analytics", F.col("metric")).otherwise(F.col("agent"))
+    q = answers(questions).withColumn("topic", topic).join(listed, "question_id", "left").join(lines, "topic", "left")
+    unmatched = F.concat(F.lit("No grounded document matched: '"), F.coalesce("text", F.lit("")), F.lit("'"))
     response = (
         F.when(F.col("agent") == "safety_filter", F.concat(F.lit("Request rejected: "), F.col("rejection")))
-        .when((F.col("agent") == "knowledge") & F.col("_docs").isNotNull(),
-              F.concat(F.lit("Grounded matches | "), F.col("_docs")))
-        .when(F.col("agent") == "knowledge", "No grounded document matched")
-        .when((F.col("agent") == "analytics") & F.col("value").isNotNull(),
-              F.concat(F.col("metric"), F.lit(": "), tx.thousands(F.col("value"))))
-        .otherwise(F.concat(F.lit("Answered by "), F.col("agent")))
-    )
+        .when(F.col("agent") == "knowledge", F.coalesce(F.concat(F.lit("Grounded matches | "), F.col("_docs")), unmatched))
+        .otherwise(F.coalesce("line", F.concat(F.col("topic"), F.lit(" unavailable"))))
+    )
     is_knowledge = F.col("agent") == "knowledge"
     return q.select(
         F.concat(F.lit("INT"), F.col("question_id")).alias("interaction_id"), F.lit("batch").alias("session_id"),
@@ -171,7 +177,7 @@ def respond(questions: DataFrame, matches: DataFrame, metrics: DataFrame, at: dt
         F.when(is_knowledge, F.coalesce("_ids", F.lit(""))).otherwise("").alias("source_document_ids"),
         tx.preview(response, 1000).alias("response_summary"),
         F.when(F.col("agent") == "safety_filter", "REJECTED").otherwise("SUCCESS").alias("status"),
-        F.lit(0.0).alias("latency_ms"), F.lit(at).alias("created_at"),
+        F.lit(elapsed_ms).cast("double").alias("latency_ms"), F.lit(at).alias("created_at"),
     )
 
 
@@ -242,6 +248,84 @@ def platform_summary(t: Tables) -> DataFrame:
     return row.withColumn("summary", line)
 
 
+# --- answers of the agents --------------------------------------------------------------------
+
+
+def _joined(best: DataFrame, order: list[Column], piece: Column) -> DataFrame:
+    """One row `listed`: the pieces of a listing of a few rows, in its order, between bars."""
+    numbered = best.select(F.row_number().over(Window.orderBy(*order)).alias("n"), piece.alias("piece"))
+    return numbered.agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("n", "piece")))["piece"], " | ").alias("listed")
+    )
+
+
+def metric_lines(metrics: DataFrame) -> DataFrame:
+    """(topic, line) for the metrics that questions ask for by name."""
+    name, value = F.col("metric"), F.col("value")
+    line = (
+        F.when(name == "high_churn_risk", F.concat(F.lit("Customers at high churn risk: "), tx.thousands(value)))
+        .when(name == "total_revenue", F.concat(F.lit("Total revenue: "), tx.dollars(value)))
+        .when(name == "total_orders", F.concat(F.lit("Total orders: "), tx.thousands(value)))
+        .when(name == "active_customers", F.concat(F.lit("Active customers: "), tx.thousands(value)))
+    )
+    return metrics.select(name.alias("topic"), line.alias("line")).where("line IS NOT NULL")
+
+
+def quality_line(metrics: DataFrame, results: DataFrame, k: int = 6) -> DataFrame:
+    """The overall score and the first k counts of rules by table and status."""
+    order = [F.asc("dataset"), F.asc("status")]
+    piece = F.format_string("%s:%s(%d)", "dataset", "status", "rows")
+    score = metrics.where(F.col("metric") == "quality_score").agg(F.max("value").alias("value"))
+    row = one_row([score, _joined(top_k(quality_view(results), order, k), order, piece)])
+    score_text = F.coalesce("value", F.lit(0.0)).cast("string")
+    return row.select(
+        F.lit("quality").alias("topic"),
+        F.concat(F.lit("Overall quality: "), score_text, F.lit("% | "), F.coalesce("listed", F.lit(""))).alias("line"),
+    )
+
+
+def anomaly_line(metrics: DataFrame, events: DataFrame, k: int = 3) -> DataFrame:
+    """How many customers are anomalous, and the top alerts."""
+    order = [F.desc("detected_at"), F.desc("anomaly_score"), F.asc("entity_id")]
+    piece = F.concat(
+        F.col("entity_id").cast("string"), F.lit(" score="), F.format_string("%.3f", F.round("anomaly_score", 3)),
+        F.lit(" severity="), F.coalesce("severity", F.lit("")),
+    )
+    count = metrics.where(F.col("metric") == "anomaly_count").agg(F.max("value").alias("value"))
+    row = one_row([count, _joined(alerts(events, k=k), order, piece)])
+    return row.select(
+        F.lit("anomaly").alias("topic"),
+        F.concat(F.lit("Anomalous customers: "), tx.thousands(F.coalesce("value", F.lit(0.0))), F.lit(" | "),
+                 F.coalesce("listed", F.lit(""))).alias("line"),
+    )
+
+
+def operations_line(runs: DataFrame, health: DataFrame, k: int = 5) -> DataFrame:
+    """The most recent runs; without any, the number of tables of each layer (`layer`, `tables`)."""
+    order = [F.desc("end_time"), F.asc("run_id")]
+    recent = _joined(top_k(runs, order, k), order, F.concat_ws(":", "notebook", "status"))
+    layers = _joined(health, [F.asc("layer")], F.concat_ws(":", "layer", F.col("tables").cast("string")))
+    row = one_row([recent, layers.withColumnRenamed("listed", "layers")])
+    return row.select(
+        F.lit("operations").alias("topic"),
+        F.when(F.col("listed") != "", F.concat(F.lit("Recent pipeline runs | "), F.col("listed")))
+        .otherwise(F.concat(F.lit("System health | "), F.coalesce("layers", F.lit(""))))
+        .alias("line"),
+    )
+
+
+def answer_lines(
+    t: Tables, metrics: DataFrame, results: DataFrame, events: DataFrame, runs: DataFrame, health: DataFrame
+) -> DataFrame:
+    """(topic, line): what each agent but the knowledge agent says, one row for each of eight topics."""
+    parts = [
+        metric_lines(metrics),
+        platform_summary(t).select(F.lit("summary").alias("topic"), F.col("summary").alias("line")),
+        quality_line(metrics, results), anomaly_line(metrics, events), operations_line(runs, health),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- listings ---------------------------------------------------------------------------------
 
 

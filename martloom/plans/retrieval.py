@@ -73,3 +73,9 @@ def search(
     )
     placed = found.select("question", F.posexplode("docs").alias("place", chunk_key))
     return placed.select(F.col("question").alias(question_key), chunk_key, (F.col("place") + 1).alias("place"))
+
+
+def passages(matches: DataFrame, chunks: DataFrame, k: int = 3, *, chunk_key: str = "document_id") -> DataFrame:
+    """The first k matches of every question with title, type, topic and text of the chunk."""
+    found = chunks.select(chunk_key, "title", "document_type", "topic", "chunk_text")
+    return matches.where(F.col("place") <= k).join(found, chunk_key)

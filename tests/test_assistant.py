@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from martloom.functions.text import search_terms
 from martloom.plans import assistant as a
 from martloom.plans.evaluation_cases import EVALUATION_CASES, labelled_questions
-from martloom.plans.retrieval import search
+from martloom.plans.retrieval import passages, search
 
 AT = dt.datetime(2024, 1, 1)
 
@@ -67,9 +67,9 @@ def test_labelled_set(spark):
     chunks = spark.createDataFrame(
         [(1, "Returns policy", "returns", "How to return goods and process refunds"), (2, "Shipping", "shipping", "Late deliveries and delays")],
         "document_id long, title string, topic string, chunk_text string",
-    )
-    metrics = spark.createDataFrame([("total_revenue", 1234.0)], "metric string, value double")
-    log = a.respond(questions, search(questions, chunks, 3), metrics, AT)
+    ).withColumn("document_type", F.lit("policy"))
+    lines = a.metric_lines(spark.createDataFrame([("total_revenue", 1234.0)], "metric string, value double"))
+    log = a.respond(questions, passages(search(questions, chunks), chunks), lines, AT)
     got = a.evaluate(questions, log)
     by_type = {r.question_type: (r.n, r.ok) for r in got.groupBy("question_type").agg(
         F.count("*").alias("n"), F.count_if("tool_correct").alias("ok")).collect()}
@@ -80,6 +80,33 @@ def test_labelled_set(spark):
     assert len(rejected) == 5 and all(r[0].startswith("Request rejected") for r in rejected)
     grounded = log.where("tool_used = 'knowledge' AND source_document_ids <> ''").first()
     assert grounded.response_summary.startswith("Grounded matches | [")
+    assert {r[0] for r in log.where("query = 'What is total revenue?'").select("response_summary").collect()} == {"Total revenue: $1,234.00"}
+    # topics without a line are said to be unavailable, and count as unsupported
+    missing = log.where("tool_used = 'quality'").select("response_summary").distinct().collect()
+    assert [r[0] for r in missing] == ["quality unavailable"]
+    assert got.where("actual_agent = 'quality' AND response_supported").isEmpty()
+    assert log.where("latency_ms IS NOT NULL").isEmpty()
+
+
+def test_agents_answer_from_their_tables(spark):
+    metrics = spark.createDataFrame(
+        [("quality_score", 97.5), ("anomaly_count", 1200.0)], "metric string, value double"
+    )
+    rules = spark.createDataFrame([("b", "PASS"), ("a", "FAIL"), ("a", "PASS"), ("b", "PASS")], "dataset string, status string")
+    assert a.quality_line(metrics, rules, 2).first().line == "Overall quality: 97.5% | a:FAIL(1) | a:PASS(1)"
+    day, later = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    events = spark.createDataFrame(
+        [(1, 0.5, "high", day), (2, 0.9, "critical", day), (3, 0.1, None, later)],
+        "entity_id long, anomaly_score double, severity string, detected_at timestamp",
+    )
+    assert a.anomaly_line(metrics, events, 2).first().line == (
+        "Anomalous customers: 1,200 | 3 score=0.100 severity= | 2 score=0.900 severity=critical"
+    )
+    runs = spark.createDataFrame([("r1", "n1", "SUCCEEDED", day), ("r2", "n2", "FAILED", later)],
+                                 "run_id string, notebook string, status string, end_time timestamp")
+    health = spark.createDataFrame([("silver", 4), ("gold", 2)], "layer string, tables int")
+    assert a.operations_line(runs, health).first().line == "Recent pipeline runs | n2:FAILED | n1:SUCCEEDED"
+    assert a.operations_line(runs.limit(0), health).first().line == "System health | gold:2 | silver:4"
 
 
 CHUNKS = [

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martloom.functions import text as tx
 from martloom.functions.labels import label_lookup
 from martloom.plans import anomalies, assistant as a, demand, quality as q, reports as h, validation as v
-from martloom.plans.retrieval import search
+from martloom.plans.retrieval import passages, search
 from martloom.sources.sinks import tables_per_layer
 from verification.common import Registry
 from verification.ctes import AS_OF, mean_cents, money, pct, sql
@@ -77,6 +77,35 @@ CTX = {
     " UNION ALL SELECT 'high_churn_risk', CAST(COUNT(*) AS DOUBLE) FROM src_customer_scores WHERE churn_predicted = 1"
     " UNION ALL SELECT 'quality_score', overall_pass_rate_pct FROM dq_kpi"
     " UNION ALL SELECT 'anomaly_count', CAST(COUNT(*) AS DOUBLE) FROM src_customer_scores WHERE is_anomaly = 1",
+    "answer_lines": "SELECT 'high_churn_risk' AS topic, 'Customers at high churn risk: ' || format('{:,.0f}', value) AS line"
+    " FROM metric_values WHERE metric = 'high_churn_risk' UNION ALL"
+    " SELECT 'total_revenue', 'Total revenue: $' || format('{:,.2f}', value) FROM metric_values WHERE metric = 'total_revenue'"
+    " UNION ALL SELECT 'total_orders', 'Total orders: ' || format('{:,.0f}', value) FROM metric_values"
+    " WHERE metric = 'total_orders' UNION ALL SELECT 'active_customers', 'Active customers: ' || format('{:,.0f}', value)"
+    " FROM metric_values WHERE metric = 'active_customers' UNION ALL"
+    " SELECT 'summary', 'Platform | Active customers: '"
+    " || format('{:,}', (SELECT COUNT(*) FROM dim_customers WHERE status = 'Active')) || ' | Orders: ' || format('{:,}', COUNT(*))"
+    " || ' | Revenue: $' || format('{:,.0f}', CAST(CAST(SUM(net_revenue) AS DECIMAL(28,0)) AS DOUBLE)) FROM fact_orders"
+    " WHERE order_status <> 'Cancelled' UNION ALL"
+    " SELECT 'quality', 'Overall quality: ' || CAST((SELECT value FROM metric_values WHERE metric = 'quality_score') AS VARCHAR)"
+    " || '% | ' || string_agg(dataset || ':' || status || '(' || n || ')', ' | ' ORDER BY dataset, status) FROM (SELECT dataset,"
+    " status, COUNT(*) AS n FROM quality_results GROUP BY dataset, status ORDER BY dataset, status LIMIT 6) UNION ALL"
+    " SELECT 'anomaly', 'Anomalous customers: ' || format('{:,.0f}', (SELECT value FROM metric_values WHERE metric ="
+    " 'anomaly_count')) || ' | ' || COALESCE(string_agg(entity_id || ' score=' || printf('%.3f', round(anomaly_score, 3)) ||"
+    " ' severity=' || severity, ' | ' ORDER BY detected_at DESC, anomaly_score DESC, entity_id), '') FROM (SELECT * FROM"
+    " anomaly_events ORDER BY detected_at DESC, anomaly_score DESC, entity_id LIMIT 3) UNION ALL"
+    " SELECT 'operations', 'Recent pipeline runs | ' || string_agg(notebook || ':' || status, ' | ' ORDER BY end_time DESC, run_id)"
+    " FROM (SELECT * FROM src_pipeline_runs ORDER BY end_time DESC, run_id LIMIT 5)",
+    "passages": "SELECT m.question_id, string_agg('[' || m.document_id || '] ' || COALESCE(c.title, '') || ': ' ||"
+    " substring(COALESCE(c.chunk_text, ''), 1, 180), ' | ' ORDER BY m.place) AS docs,"
+    " string_agg(CAST(m.document_id AS VARCHAR), ',' ORDER BY m.place) AS ids FROM matches m JOIN document_chunks c"
+    " ON m.document_id = c.document_id WHERE m.place <= 3 GROUP BY m.question_id",
+    "interactions": "SELECT r.*, CASE WHEN agent = 'safety_filter' THEN 'REJECTED' ELSE 'SUCCESS' END AS status,"
+    " CASE WHEN agent = 'knowledge' THEN COALESCE(p.ids, '') ELSE '' END AS ids,"
+    " substring(CASE agent WHEN 'safety_filter' THEN 'Request rejected: ' || rejection WHEN 'knowledge' THEN"
+    " COALESCE('Grounded matches | ' || p.docs, 'No grounded document matched: ''' || text || '''') ELSE l.line END, 1, 1000)"
+    " AS response FROM routed r LEFT JOIN passages p ON p.question_id = r.question_id LEFT JOIN answer_lines l"
+    " ON l.topic = CASE WHEN r.agent = 'analytics' THEN r.metric ELSE r.agent END",
     "matches": "SELECT question_id, document_id, n AS place FROM (SELECT q.question_id, c.document_id,"
     " row_number() OVER (PARTITION BY q.question_id ORDER BY c.document_id) AS n FROM asked q JOIN document_chunks c ON"
     " len(q.terms) = 0 OR len(list_filter(q.terms, lambda w: contains(lower(c.chunk_text), w)"
@@ -120,11 +149,18 @@ def matches(x):
     return search(x.source["questions"], x.t["document_chunks"])
 
 
+def lines(x, runs=None):
+    scores, found = x.source["customer_scores"], results(x)
+    kpi = q.data_quality_kpi(q.quality_summary(found), x.as_of)
+    t = x.t.replacing(churn_predictions=scores, anomaly_scores=scores, data_quality_kpi=kpi)
+    runs = x.source["pipeline_runs"] if runs is None else runs
+    # (layer, tables) from given rows: channels of each order status
+    health = x.t["fact_orders"].groupBy(F.col("order_status").alias("layer")).agg(F.count_distinct("channel").alias("tables"))
+    return a.answer_lines(t, a.metric_values(t), found, events(x), runs, health)
+
+
 def interactions(x):
-    scores = x.source["customer_scores"]
-    kpi = q.data_quality_kpi(q.quality_summary(results(x)), x.as_of)
-    values = a.metric_values(x.t.replacing(churn_predictions=scores, anomaly_scores=scores, data_quality_kpi=kpi), list(a.METRICS))
-    return a.respond(x.source["questions"], matches(x), values, AT)
+    return a.respond(x.source["questions"], passages(matches(x), x.t["document_chunks"]), lines(x), AT)
 
 
 def labelled(x):
@@ -221,31 +257,41 @@ R.add(
     S("SELECT dataset, status, COUNT(*) AS rows FROM quality_results GROUP BY dataset, status"),
 )
 _SUPPORTED = (
-    "CASE WHEN agent = 'knowledge' THEN EXISTS (SELECT 1 FROM matches m WHERE m.question_id = r.question_id) ELSE true END"
+    "CASE agent WHEN 'knowledge' THEN starts_with(response, 'Grounded matches') WHEN 'safety_filter' THEN status = 'REJECTED'"
+    " ELSE NOT (contains(lower(response), 'unavailable') OR contains(lower(response), 'no quality results')"
+    " OR contains(lower(response), 'error:')) END"
 )
 R.add(
     "q14_grounding",
     lambda x: interactions(x).select(
         "interaction_id", a.supported(F.col("tool_used"), F.col("status"), F.col("response_summary")).alias("supported")
     ),
-    S(f"SELECT 'INT' || question_id AS interaction_id, {_SUPPORTED} AS supported FROM routed r"),
+    S(f"SELECT 'INT' || question_id AS interaction_id, {_SUPPORTED} AS supported FROM interactions"),
 )
 R.add(
     "q15_evaluation",
     lambda x: a.evaluate(labelled(x), interactions(x)).drop("latency_ms", "evaluated_at", "query"),
     S(
         "SELECT 'EVAL' || question_id AS evaluation_id, expected_agent AS question_type, expected_agent,"
-        f" agent AS actual_agent, agent = expected_agent AS tool_correct, {_SUPPORTED} AS response_supported FROM routed r"
+        f" agent AS actual_agent, agent = expected_agent AS tool_correct, {_SUPPORTED} AS response_supported FROM interactions"
     ),
 )
 R.add(
     "q16_interactions",
-    lambda x: interactions(x).select("interaction_id", "query", "agent_name", "status", "source_document_ids"),
+    lambda x: interactions(x).select("interaction_id", "query", "agent_name", "status", "source_document_ids",
+                                     "response_summary", "latency_ms"),
+    S(
+        "SELECT 'INT' || question_id AS interaction_id, text AS query, agent || '_agent' AS agent_name, status,"
+        " ids AS source_document_ids, response AS response_summary, CAST(NULL AS DOUBLE) AS latency_ms FROM interactions"
+    ),
+)
+R.add("q16_answer_lines", lines, S("SELECT * FROM answer_lines"))
+R.add(
+    "q10_operations_without_runs",
+    lambda x: lines(x, x.source["pipeline_runs"].where("run_id = ''")).where("topic = 'operations'"),
     S(
-        "SELECT 'INT' || question_id AS interaction_id, text AS query, agent || '_agent' AS agent_name,"
-        " CASE WHEN agent = 'safety_filter' THEN 'REJECTED' ELSE 'SUCCESS' END AS status,"
-        " CASE WHEN agent = 'knowledge' THEN COALESCE((SELECT string_agg(CAST(document_id AS VARCHAR), ',' ORDER BY place)"
-        " FROM matches m WHERE m.question_id = r.question_id), '') ELSE '' END AS source_document_ids FROM routed r"
+        "SELECT 'operations' AS topic, 'System health | ' || string_agg(layer || ':' || tables, ' | ' ORDER BY layer) AS line"
+        " FROM (SELECT order_status AS layer, COUNT(DISTINCT channel) AS tables FROM fact_orders GROUP BY order_status)"
     ),
 )
 R.add(
@@ -416,19 +462,17 @@ R.add(
     S(
         "SELECT expected_agent AS question_type, COUNT(*) AS questions,"
         " COUNT(CASE WHEN agent = expected_agent THEN 1 END) AS correctly_routed,"
-        f" COUNT(CASE WHEN {_SUPPORTED} THEN 1 END) AS supported_responses, CAST(0 AS DOUBLE) AS avg_latency_ms,"
+        f" COUNT(CASE WHEN {_SUPPORTED} THEN 1 END) AS supported_responses, CAST(NULL AS DOUBLE) AS avg_latency_ms,"
         f" {pct('COUNT(CASE WHEN agent = expected_agent THEN 1 END)', 'COUNT(*)', 1)} AS routing_accuracy_pct"
-        " FROM routed r GROUP BY expected_agent"
+        " FROM interactions GROUP BY expected_agent"
     ),
 )
 R.add(
     "h12_interaction_log",
-    lambda x: h.interaction_log(
-        interactions(x).select("*").withColumn("response_summary", F.col("query"))
-    ).select("interaction_id", "query", "response_preview", "status"),
+    lambda x: h.interaction_log(interactions(x)).select("interaction_id", "query", "response_preview", "status"),
     S(
-        "SELECT 'INT' || question_id AS interaction_id, text AS query, substring(text, 1, 180) AS response_preview,"
-        " CASE WHEN agent = 'safety_filter' THEN 'REJECTED' ELSE 'SUCCESS' END AS status FROM routed"
+        "SELECT 'INT' || question_id AS interaction_id, text AS query, substring(response, 1, 180) AS response_preview, status"
+        " FROM interactions"
     ),
 )
 _LIVE_TOP = " FROM live_minutes ORDER BY event_minute DESC, revenue DESC, channel LIMIT 50"
