@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martloom.llm import bpe, langid, mixing, neighbours, pii, sharding, simhash, syncmers, toxicity, warc
+from martloom.llm import bpe, comparison, langid, mixing, neighbours, pii, sharding, simhash, syncmers, toxicity, warc
 from martloom.llm.common import table
 
 
@@ -13,7 +14,11 @@ def op1_naive_bayes_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents"))
+    first, again = (F.col("copies")[k] for k in range(mixing.REPEATS))
+    return mixing.mix(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "position", first["taken"].alias("taken_first"),
+        again["taken"].alias("taken_again"), again["position"].alias("position_again"),
+    )
 
 
 def op3_closed_syncmers(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,4 +68,8 @@ QUERIES = {
         op10_language_spans,
     )
 }
-ORACLE = {"op7_warc_derivatives": warc.ORACLE}
+ORACLE = {
+    "op2_curriculum_mix": comparison.MIX,
+    "op7_warc_derivatives": warc.ORACLE,
+    "op9_personal_data": comparison.PERSONAL_DATA,
+}
