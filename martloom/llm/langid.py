@@ -30,7 +30,7 @@ PENALTY = 12.0
 #: A script belongs to a language if this share of its letters is written in it.
 SCRIPT_SHARE = 0.01
 #: Code points and words that are held at once.
-CHARS, WORDS = 1 << 20, 1 << 21
+CHARS, WORDS = 1 << 19, 1 << 19
 UNKNOWN = "und"
 
 #: First code points of blocks, up to the next, by script.
