@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm import bpe, langid, mixing, pii, simhash
+from martloom.llm.common import bound_batches
 from martloom.session import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any letter (`und`). The label `lang` stays as it was given."""
+    bound_batches(spark)
     model = langid.fit_or_none(docs)
     if model is None:
         return docs
@@ -20,6 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
+    bound_batches(spark)
     return simhash.keep_one(docs)
 
 
@@ -35,6 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, token ids, their number, and the digests of the ids and of the decoded bytes."""
+    bound_batches(spark)
     return docs.select("doc_id", "source", bpe.encoded(F.col("text")).alias("e")).select("doc_id", "source", "e.*")
 
 
