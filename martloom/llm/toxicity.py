@@ -120,8 +120,13 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fit_one(frame: pd.DataFrame) -> pd.DataFrame:
-    """The regression itself, on the bounded sample: one row of features, weights and intercept."""
+    """The regression itself, on the bounded sample: one row of features, weights and intercept.
+
+    The intercept is what is left without the log odds of these rows. One class alone tells nothing.
+    """
     y = frame["toxic"].to_numpy().astype(float)
+    if len(np.unique(y)) < 2:
+        return pd.DataFrame({"ids": [[]], "weights": [[]], "intercept": [0.0]})
     size = 1 << BITS
     p, q = np.zeros(size), np.zeros(size)
     for ids, toxic in zip(frame["ids"], y, strict=True):  # each feature once in a document
@@ -153,15 +158,17 @@ def _fit_one(frame: pd.DataFrame) -> pd.DataFrame:
         pace = k / (k + 3)
         ahead, b_ahead = w + pace * (w - last_w), b + pace * (b - last_b)
         last_w, last_b = w, b
-    return pd.DataFrame({"ids": [kept.astype(np.int32)], "weights": [w * ratio[kept]], "intercept": [b]})
+    own = np.log(ones / zeros)
+    return pd.DataFrame({"ids": [kept.astype(np.int32)], "weights": [w * ratio[kept]], "intercept": [b - own]})
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from the labelled documents that are not held out.
 
     About `sample` documents of each class are used (all, if there are fewer), so the one
-    task that fits them has a bounded size. The intercept then moves to the classes' true
-    shares. Without both classes the model knows only these shares.
+    task that fits them has a bounded size. The intercept then moves from the shares of the
+    fitted rows to the classes' true ones: not at all where all rows of both were used.
+    Without both classes the model knows only these shares.
     """
     rows, prior = _labelled(docs, labels, sample)
     fitted = (

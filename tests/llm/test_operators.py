@@ -480,6 +480,35 @@ def test_held_out_labels_do_not_count(spark, documents, small):
     assert np.allclose(a.weights, b.weights) and np.isclose(a.intercept, b.intercept)
 
 
+@pytest.mark.parametrize("bound", [3000, 60])
+def test_rare_class_keeps_its_odds(spark, bound):
+    """30 toxic documents among 330, below both bounds; 300 clean ones, above the second. Their words overlap."""
+    rng = np.random.default_rng(5)
+    common, marks = [f"word{i}" for i in range(60)], [f"vile{i}" for i in range(12)]
+    rows = []
+    for i in range(1200):
+        toxic = i % 11 == 0
+        words = list(rng.choice(common, 20)) + (list(rng.choice(marks, 2)) if rng.random() < (0.85 if toxic else 0.02) else [])
+        rows.append((i, " ".join(rng.permutation(words)), int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    known = frame.where("doc_id < 330").select("doc_id", "toxic")
+    model = toxicity.fit(frame, known, bound)
+    found = {r.doc_id: r for r in toxicity.score(frame, known, model).collect()}
+    fresh = [(found[i], y) for i, _, y in rows if i >= 330]
+    recall = np.mean([r.predicted for r, y in fresh if y])
+    # without a penalty on the intercept, the scores of the fitted rows add up to their toxic labels
+    if bound == 3000:
+        fitted = [(found[i].score, y) for i, _, y in rows if i < 330 and not found[i].held_out]
+        assert abs(np.mean([s for s, _ in fitted]) - np.mean([y for _, y in fitted])) < 0.01
+    assert recall > 0.5 and np.mean([r.predicted for r, y in fresh if not y]) < 0.1
+
+
+def test_one_class_knows_its_share_only(spark, documents, small):
+    labels = table(spark, small, "labels").where("toxic = 0")
+    model = toxicity.fit(documents, labels)
+    assert not model.weights.any() and np.isclose(model.intercept, np.log(1e-6 / (1 - 1e-6)))
+
+
 # --- nearest neighbours
 
 
