@@ -2,31 +2,26 @@
 
 Each derived record points back to its response (WARC-Refers-To), keeps the response's
 target, date and digests, and has a digest of its own block. Everything is a column
-expression on one response, so no step shuffles.
+expression on one response, so no step shuffles. Character references are decoded in Python.
 """
 
 from __future__ import annotations
 
+import html as markup
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed value: the date of pages that carry none.
 NO_DATE = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 
-#: What HTML writes for characters that mean something to it.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&amp;", "&"),
-)
+#: What may be a character reference: a number or a name, the last semicolon missing or not.
+REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{0,31};?)")
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>"
 BREAKS = r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|body|html|pre|blockquote)\b[^>]*>"
 
@@ -42,12 +37,22 @@ def digest(block: Column) -> Column:
     return F.concat(F.lit("sha1:"), F.sha1(block.cast("binary")))
 
 
+def _character(found: re.Match) -> str:
+    text = markup.unescape(found.group())
+    # a space that does not break is a space
+    return " " + text[1:] if text.startswith("\xa0") else text
+
+
+@F.arrow_udf(T.StringType())
+def decoded(texts: pa.Array) -> pa.Array:
+    """All of HTML's character references, named and numeric, read once."""
+    return pa.array([t and REFERENCE.sub(_character, t) for t in texts.to_pylist()], pa.string())
+
+
 def plain_text(html: Column) -> Column:
     """Visible text: hidden parts go, block tags break lines, other tags vanish, entities are read once."""
     text = F.regexp_replace(F.regexp_replace(html, HIDDEN, " "), BREAKS, "\n")
-    text = F.regexp_replace(text, "<[^>]*>", "")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    text = decoded(F.regexp_replace(text, "<[^>]*>", ""))
     text = F.regexp_replace(text, r"[ \t\r]+", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(text, r" ?\n ?", "\n"), r"\n+", "\n"), F.lit(" \n"))
 

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on the smallest tables and on awkward rows."""
 
 import hashlib
+import html
 import re
 from bisect import insort
 from collections import Counter, defaultdict
@@ -581,6 +582,29 @@ def test_warc_files_round_trip(spark, small, tmp_path):
         assert b.headers["WARC-Refers-To"] == r.refers_to and b.headers["WARC-Block-Digest"] == r.block_digest
 
 
+def test_plain_text_reads_every_entity(spark):
+    texts = [
+        "&copy; 2024 &middot; &eacute;&Eacute; &#8364;&#x20AC;&#X41; &hellip;", "&copy2024 &ampx &notit; &unknown; & &; &#;",
+        "&amp;copy; &amp;#169; &amp;lt;b&amp;gt;", "&NotEqualTilde; &#128; &#xD800; &#0; &#x110000; &#39;&apos;&quot;", "a&lt;b&gt;c",
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    found = {r.t: r.p for r in frame.select("t", warc.plain_text(F.col("t")).alias("p")).collect()}
+    assert found == {t: html.unescape(t) for t in texts} | {None: None}
+    spaces = frame.limit(1).select(warc.plain_text(F.lit("a&nbsp;&#160;b&#xA0;c&nbspd&Tab;e")).alias("p")).first().p
+    assert spaces == "a b c d e"
+
+
+def test_conversions_equal_plain_python(spark, small):
+    pages = table(spark, small, "pages")
+    found = {r.page_id: r for r in warc.derivatives(warc.responses(pages)).where("type = 'conversion'").collect()}
+    for r in pages.collect():
+        text = re.sub(warc.HIDDEN[5:], " ", r.html or "", flags=re.I | re.S)
+        text = re.sub("<[^>]*>", "", re.sub(warc.BREAKS[4:], "\n", text, flags=re.I))
+        text = re.sub(r"[ \t\r]+", " ", html.unescape(text).replace("\xa0", " "))
+        text = re.sub(r"\n+", "\n", re.sub(r" ?\n ?", "\n", text)).strip(" \n")
+        assert found[r.page_id].block == text and not re.search("&(copy|middot);", text)
+
+
 def test_warc_cases(spark):
     rows = [(1, None, None), (2, "http://x/", ""), (None, "http://y/", "<p>a&amp;lt;b</p><script>x</script><!-- <p>no</p> -->"), (2, "http://x/", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url AS type", "html AS block")
