@@ -28,6 +28,8 @@ class Kind:
     context: str
     #: Spans below this score are not reported. Zero: context never decides.
     least: float = 0.0
+    #: What may follow a match and belong to its span, at its longest. It is only looked at: spans may begin in it.
+    ahead: str = ""
 
 
 #: The kinds in the order of reports.
@@ -44,11 +46,18 @@ KINDS = (
     # [0-9]([\x20-]?[0-9])+
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.8, r"card|visa|credit|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.7, r"phone|tel|call|mobile|fax"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{4}){2,7}(?:[\x20]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-         0.9, r"iban|account|bank|konto|compte|cuenta"),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}", 0.9, r"iban|account|bank|konto|compte|cuenta",
+         ahead=r"(?:[\x20]?[A-Z0-9]{4}){2,7}(?:[\x20]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     # nine digits prove nothing by themselves: only context lifts them over the limit
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.4, r"ssn|social|security", 0.6),
 )
+#: Characters of an account number, by country. Other codes may have any length.
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
 #: Code points before a span that are searched for context words, and what a find adds.
 CONTEXT = 48
 BONUS = 0.3
@@ -99,8 +108,49 @@ def confirmed(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def account(value: Column) -> Column:
+    """The confirmed beginning of a proposed account number that ends at a word border, or null.
+
+    The one of its country's length, or else the whole; of a country without a fixed length the longest. One in
+    97 others passes by chance.
+    """
+    country = F.substring(value, 1, 2)
+    length = F.coalesce(*[F.when(country.isin(codes.split()), n) for n, codes in LENGTHS.items()])
+
+    def beginnings(words: Column) -> Column:
+        lengths = F.sequence(F.size(words), F.lit(1), F.lit(-1))
+        return F.transform(lengths, lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+
+    def chosen(passed: Column) -> Column:
+        own = F.filter(passed, lambda b: F.length(F.replace(b, F.lit(" "), F.lit(""))) == length)
+        longest = F.try_element_at(passed, F.lit(1))
+        return F.coalesce(F.try_element_at(own, F.lit(1)), F.when(length.isNull() | (longest == value), longest))
+
+    return let(F.filter(let(F.split(value, " "), beginnings), lambda b: confirmed("iban", b)), chosen)
+
+
+def _apart(proposed: Column, kind: Kind) -> Column:
+    """Confirmed spans that do not begin inside an earlier one, with scores by the context since that one."""
+    start = F.expr("cast(array() as array<struct<kind:string,start:int,end:int,score:double>>)")
+
+    def add(done: Column, s: Column) -> Column:
+        since = F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0))
+        near = F.right(s["near"], s["start"] - since)
+        bonus = F.when(near.rlike(rf"\b(?:{kind.context})\b"), F.lit(BONUS)).otherwise(F.lit(0.0))
+        fresh = F.struct(
+            F.lit(kind.name).alias("kind"),
+            s["start"].alias("start"),
+            (s["start"] + s["size"]).alias("end"),
+            F.least(F.lit(kind.score) + bonus, F.lit(1.0)).alias("score"),
+        )
+        return F.when(s["start"] >= since, F.concat(done, F.array(fresh))).otherwise(done)
+
+    return F.aggregate(F.filter(proposed, lambda s: s["size"].isNotNull()), start, add)
+
+
 def _found(text: Column, kind: Kind) -> Column:
     """array<struct<kind, start, end, score>> of one kind, by start."""
+    pattern = f"{kind.pattern}(?=({kind.ahead}))" if kind.ahead else kind.pattern
     empty = F.expr("cast(array() as array<struct<kind:string,start:int,end:int,score:double>>)")
 
     def located(pair: Column) -> Column:
@@ -118,6 +168,9 @@ def _found(text: Column, kind: Kind) -> Column:
                 )
                 before = F.lower(F.element_at(pair["gaps"], i + 1))
                 near = F.substring(before, F.greatest(F.length(before) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT))
+                if kind.ahead:
+                    whole = F.concat(m, F.element_at(pair["ahead"], i + 1))
+                    return F.struct(start.alias("start"), F.length(account(whole)).alias("size"), near.alias("near"))
                 bonus = F.when(near.rlike(rf"\b(?:{kind.context})\b"), F.lit(BONUS)).otherwise(F.lit(0.0))
                 return F.struct(
                     F.lit(kind.name).alias("kind"),
@@ -127,6 +180,8 @@ def _found(text: Column, kind: Kind) -> Column:
                     confirmed(kind.name, m).alias("ok"),
                 )
 
+            if kind.ahead:
+                return _apart(F.transform(matches, one), kind)
             kept = F.filter(F.transform(matches, one), lambda s: s["ok"] & (s["score"] >= kind.least))
             return F.transform(
                 kept,
@@ -152,13 +207,14 @@ def _found(text: Column, kind: Kind) -> Column:
         )
 
     def matched(matches: Column) -> Column:
-        gaps = F.split(text, kind.pattern, -1)
+        gaps = F.split(text, pattern, -1)
+        ahead = [F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("ahead")] if kind.ahead else []
         return F.when(
             F.size(matches) > 0,
-            let(F.struct(matches.alias("matches"), gaps.alias("gaps")), located),
+            let(F.struct(matches.alias("matches"), gaps.alias("gaps"), *ahead), located),
         ).otherwise(empty)
 
-    return let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), matched)
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), matched)
 
 
 def spans(text: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:

@@ -102,6 +102,19 @@ def test_pii_added_kinds_and_scores(spark):
     assert spans[4][1] == "card:5:1.0,card:29:0.8"
 
 
+def test_ibans_before_other_words(spark):
+    """Upper-case words and digits after a number, numbers in a row, and one that begins inside a failed span."""
+    numbers = ["BE71 0961 2345 6769", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00"]
+    words = ["BIC", "EUR 20", "2024", "BIC GEBABEBB", "XX", "EUROPE 2024 1234 5678 9012", "today"]
+    cases = [f"{n} {w}" for n in numbers for w in words] + [f"{n.replace(' ', '')} {w}" for n in numbers for w in words]
+    cases += [" ".join(numbers), "BE12 AT61 1904 3002 3457 3201", "BE71 0961 2345 6768 BIC", "xBE71 0961 2345 6769 BIC"]
+    found = pii.find(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string"))
+    got = {r.doc_id: [s for s in r.spans.split(",") if s.startswith("iban")] for r in found.collect()}
+    for i, text in enumerate(cases):
+        hits = sorted((text.find(f), len(f)) for n in numbers for f in (n, n.replace(" ", "")) if f in text and not text.startswith("x"))
+        assert got[i] == [f"iban:{a}:{a + n}" for a, n in hits], text
+
+
 def test_pii_masking(odd):
     masked = {r.doc_id: r.m for r in odd.select("doc_id", pii.masked(F.col("text")).alias("m")).collect()}
     assert masked[11] == "mail me: [EMAIL] or [PHONE]; card [CARD], host [IP]."
