@@ -57,13 +57,14 @@ class Tree:
                 own = np.array(self.children[n])
                 node[at] = own[_squares(vectors[at], self.centres[own]).argmin(axis=1)]
 
-    def order(self, query: np.ndarray, limit: int) -> list[int]:
-        """The first `limit` leaves, best bin first."""
-        found, queue = [], [(0.0, 0)]
-        while queue and len(found) < limit:
+    def order(self, query: np.ndarray, limit: int, sizes: list[int] | None = None, least: int = 0) -> list[int]:
+        """The first `limit` leaves, best bin first, and more until they hold `least` vectors."""
+        found, queue, held = [], [(0.0, 0)], 0
+        while queue and (len(found) < limit or held < least):
             _, n = heapq.heappop(queue)
             if self.leaf[n] >= 0:
                 found.append(int(self.leaf[n]))
+                held += sizes[found[-1]] if sizes else 0
                 continue
             own = np.array(self.children[n])
             for d, c in zip(_squares(query[None], self.centres[own])[0].tolist(), own.tolist(), strict=True):
@@ -195,6 +196,8 @@ class Index:
     tree: Tree
     #: vec_id, v, leaf: all vectors.
     members: DataFrame
+    #: Vectors of each leaf.
+    sizes: list[int]
     #: Shelf of each leaf, and into how many blocks each shelf is cut.
     shelf: list[int]
     blocks: list[int]
@@ -232,19 +235,23 @@ def make_index(vectors: DataFrame, sample: int = SAMPLE) -> Index:
         held += size
         blocks[-1] = max(1, -(-held // BLOCK))
         shelf.append(len(blocks) - 1)
-    return Index(tree, placed, shelf, blocks)
+    return Index(tree, placed, [sizes.get(leaf, 0) for leaf in range(tree.leaves)], shelf, blocks)
 
 
 def search(index: Index, queries: DataFrame, k: int, visits: int) -> DataFrame:
-    """query_id, rank, vec_id, score of the k nearest vectors found in the first `visits` leaves of each query."""
-    tree, shelf, blocks = index.tree, index.shelf, index.blocks
+    """query_id, rank, vec_id, score of the k nearest vectors found in the first `visits` leaves of each query.
+
+    A query goes on to further leaves until they hold k vectors besides the `copies` that have its own id.
+    """
+    tree, sizes, shelf, blocks = index.tree, index.sizes, index.shelf, index.blocks
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for q, vector in zip(batch.column("vec_id").to_pylist(), _matrix(batch.column("v")), strict=True):
+            own_ids, copies = (batch.column(c).to_pylist() for c in ("vec_id", "copies"))
+            for q, vector, own_rows in zip(own_ids, _matrix(batch.column("v")), copies, strict=True):
                 asked: dict[int, list[int]] = {}
-                for leaf in tree.order(vector, visits):
+                for leaf in tree.order(vector, visits, sizes, k + own_rows):
                     asked.setdefault(shelf[leaf], []).append(leaf)
                 rows += [(q, vector, own, leaves, b) for own, leaves in asked.items() for b in range(blocks[own])]
             q, vector, own, leaves, b = zip(*rows, strict=True) if rows else ((),) * 5
@@ -254,7 +261,7 @@ def search(index: Index, queries: DataFrame, k: int, visits: int) -> DataFrame:
                 ["query_id", "q", "shelf", "leaves", "block"],
             )
 
-    asked = queries.select("vec_id", "v").mapInArrow(
+    asked = queries.select("vec_id", "v", "copies").mapInArrow(
         route, "query_id long, q array<double>, shelf int, leaves array<int>, block int"
     )
     rows = F.from_json(
@@ -300,6 +307,7 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, recall: float = R
     is asked once, with its smallest vector. An empty table gives no rows. Other columns are not read.
     """
     index = make_index(vectors)
-    queries = index.members.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = index.members.where(F.col("vec_id") % every == 0).groupBy("vec_id")
+    queries = queries.agg(F.min("v").alias("v"), F.count("*").alias("copies"))
     queries = materialize(queries, "queries")
     return search(index, queries, k, calibrate(index, queries, k, recall))

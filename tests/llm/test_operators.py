@@ -565,6 +565,18 @@ def test_neighbours_cases(spark, monkeypatch):
     assert {r.vec_id for r in neighbours.nearest(frame.where("vec_id IN (0, 1, 2)")).collect()} == {1, 2}
 
 
+def test_lone_queries_get_k_neighbours(spark):
+    """However few leaves the calibration asks for: vectors in small leaves, and an id whose rows fill its own."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(0, 1 + i % 7, 8).tolist()) for i in range(300)]
+    rows += [(700, [900.0 + i / 100] * 8) for i in range(30)]
+    index = neighbours.make_index(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert min(n for n in index.sizes if n) <= 10
+    queries = index.members.groupBy("vec_id").agg(F.min("v").alias("v"), F.count("*").alias("copies"))
+    found = Counter(r.query_id for r in neighbours.search(index, queries, 10, 1).collect())
+    assert found == {i: 10 for i, _ in rows}
+
+
 # --- WARC
 
 
