@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, comparison, langid, mixing, neighbours, pii, sharding, simhash, syncmers, toxicity, warc
+from martloom.llm import bpe, comparison, langid, mixing, neighbours, pii, sharding, simhash, syncmers, toxicity, urlfilter, warc
 from martloom.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_language_spans(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
+def op12_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge(table(spark, folder, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,10 +70,12 @@ QUERIES = {
         op8_virtual_slots,
         op9_personal_data,
         op10_language_spans,
+        op12_url_rules,
     )
 }
 ORACLE = {
     "op2_curriculum_mix": comparison.MIX,
     "op7_warc_derivatives": warc.ORACLE,
     "op9_personal_data": comparison.PERSONAL_DATA,
+    "op12_url_rules": urlfilter.ORACLE,
 }
