@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import bpe, comparison, langid, mixing, neighbours, pii, sharding, simhash, syncmers, toxicity, urlfilter, warc
+from martloom.llm import bpe, collocations, comparison, langid, merkle, mixing, neighbours, pii, sharding, simhash, syncmers, toxicity, urlfilter, warc
 from martloom.llm.common import table
 
 
@@ -53,10 +53,18 @@ def op10_language_spans(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
+def op11_dynamic_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def op12_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -70,12 +78,16 @@ QUERIES = {
         op8_virtual_slots,
         op9_personal_data,
         op10_language_spans,
+        op11_dynamic_collocations,
         op12_url_rules,
+        op13_merkle_manifest,
     )
 }
 ORACLE = {
     "op2_curriculum_mix": comparison.MIX,
     "op7_warc_derivatives": warc.ORACLE,
     "op9_personal_data": comparison.PERSONAL_DATA,
+    "op11_dynamic_collocations": collocations.ORACLE,
     "op12_url_rules": urlfilter.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }
