@@ -1,8 +1,10 @@
 """Incremental order stream: files -> bronze -> silver (latest per order) -> minute KPIs.
 
 Plain Parquet has no MERGE, so an upsert rewrites the time slots it touches and
-no others. Each step gives the same tables when a batch is run
-again, which is what the stream does after a failure.
+no others. What a batch has to know about the past comes from indexes, not from the
+tables: which event ids are known, and in which slot an order lies. The KPIs follow from
+what the batch adds and takes away, so the other rows of a slot are not read again. Each step
+gives the same tables when a batch is run again, which is what the stream does after a failure.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from martloom.functions import money as m
 from martloom.functions.dates import minute
 from martloom.operators.windows import latest_by_key
-from martloom.session import configure, delete_path, materialize, path_exists
+from martloom.session import configure, delete_path, path_exists
 from martloom.sources.sinks import insert_absent, upsert_rows
 from martloom.streaming.events import EVENT_SCHEMA, event_stream
+from martloom.streaming.key_index import KeyIndex, add_deltas, folder_names, read_parts, state_schema
 
 BRONZE_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("_ingestion_ts", T.TimestampType()),
                               T.StructField("_microbatch_id", T.LongType())])
@@ -31,7 +34,14 @@ GOLD_SCHEMA = (
     "event_minute timestamp, channel string, order_count long, unique_customers long, gross_sales double,"
     " discounts double, revenue double, avg_order_value double, last_updated timestamp, event_slot string"
 )
-KEY_SCHEMA = "event_minute timestamp, channel string"
+#: +1: the row enters the table, -1: it leaves.
+CHANGE_SCHEMA = SILVER_SCHEMA + ", sign int"
+MINUTE = "event_minute timestamp, channel string"
+ORDERS = ("orders", "gross", "discounts", "net", "gross_known", "discounts_known", "net_known")
+TOTAL_SCHEMA = state_schema(MINUTE, (*ORDERS, "customers"), "event_slot string")
+CUSTOMER_SCHEMA = state_schema(MINUTE + ", customer_id string", ("orders",), "event_slot string, kpi_bucket int")
+#: Parts of a slot by minute and channel, for the counts of orders by customer.
+KPI_BUCKETS = 64
 METRIC_SCHEMA = (
     "input_rows long, bronze_rows long, silver_rows long, batch_started_at timestamp, batch_finished_at timestamp,"
     " processing_ms long, event_lag_seconds double, status string, error_message string, stream_name string,"
@@ -89,11 +99,41 @@ def accepted_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return joined.where(newer).drop("_stored_at")
 
 
-def touched_keys(accepted: DataFrame, stored: DataFrame) -> DataFrame:
-    """(minute, channel) an accepted row enters, and those its order leaves."""
-    left = stored.join(accepted.select("order_id"), "order_id", "left_semi")
-    keys = [df.select(minute("event_time").alias("event_minute"), "channel") for df in (accepted, left)]
-    return keys[0].unionAll(keys[1]).distinct()
+def changes_of(accepted: DataFrame, stored: DataFrame) -> DataFrame:
+    """What a batch does to silver: accepted rows enter, the stored rows of the same orders leave."""
+    leaving = stored.join(accepted.select("order_id"), "order_id", "left_semi").select(*accepted.columns)
+    return accepted.withColumn("sign", F.lit(1)).unionByName(leaving.withColumn("sign", F.lit(-1)))
+
+
+def order_deltas(changes: DataFrame) -> DataFrame:
+    """Signed counts and sums in cents by minute and channel."""
+    sums, known = [], []
+    for column, name in (("order_total", "gross"), ("discount_amount", "discounts"), ("net_revenue", "net")):
+        sums.append(F.coalesce(F.sum(m.cents(column) * F.col("sign")), F.lit(0)).alias(name))
+        known.append(F.sum(F.when(F.col(column).isNotNull(), F.col("sign")).otherwise(0)).alias(f"{name}_known"))
+    return _by_minute(changes).agg(F.sum("sign").alias("orders"), *sums, *known)
+
+
+def _by_minute(changes: DataFrame, *more: str):
+    return changes.withColumn("event_minute", minute("event_time")).groupBy("event_slot", "event_minute", "channel", *more)
+
+
+def customer_deltas(changes: DataFrame) -> DataFrame:
+    """Signed counts of orders by minute, channel and customer: a multiset, so that the last order takes the customer away."""
+    counted = _by_minute(changes.where("customer_id IS NOT NULL"), "customer_id").agg(F.sum("sign").alias("orders"))
+    return counted.withColumn("kpi_bucket", F.pmod(F.xxhash64("event_minute", "channel"), F.lit(KPI_BUCKETS)).cast("int"))
+
+
+def gold_rows(totals: DataFrame) -> DataFrame:
+    def amount(name: str) -> Column:
+        return F.when(F.col(f"{name}_known") > 0, m.dollars(F.col(name)))
+
+    return totals.where("orders > 0").select(
+        "event_minute", "channel", F.col("orders").alias("order_count"), F.col("customers").alias("unique_customers"),
+        amount("gross").alias("gross_sales"), amount("discounts").alias("discounts"), amount("net").alias("revenue"),
+        m.mean_cents(F.col("net"), F.col("net_known")).alias("avg_order_value"), F.col("updated").alias("last_updated"),
+        "event_slot",
+    )
 
 
 def slots_of(df: DataFrame, column: str = "event_slot") -> list[str]:
@@ -126,8 +166,10 @@ class LiveSales:
 
     def __post_init__(self) -> None:
         configure(self.spark)
-        names = ("bronze", "silver", "gold", "keys", "metrics", "checkpoint")
+        names = ("bronze", "silver", "gold", "metrics", "checkpoint", "changes", "totals", "customers", "work")
         self.paths = {n: f"{self.root.rstrip('/')}/{n}" for n in names}
+        self.events = KeyIndex(self.spark, f"{self.root.rstrip('/')}/event_index", "event_id")
+        self.slots = KeyIndex(self.spark, f"{self.root.rstrip('/')}/order_index", "order_id", "event_slot")
 
     def bronze(self) -> DataFrame:
         return read_or_empty(self.spark, self.paths["bronze"], BRONZE_SCHEMA)
@@ -167,62 +209,92 @@ class LiveSales:
             raise
 
     def _fold(self, batch: DataFrame, batch_id: int, counts: dict[str, int]) -> dt.datetime | None:
+        self._adopt_tables()
         stamped = latest_by_key(batch, "event_id", ["event_time"]).withColumns(
             {"_ingestion_ts": F.current_timestamp(), "_microbatch_id": F.lit(batch_id).cast("long")}
         )
-        staged = materialize(stamped, "batch")
+        staged = self._stage(stamped, "batch")
         seen = staged.agg(F.count(F.lit(1)), F.max("event_time")).first()
         counts["input_rows"] = seen[0]
         if seen[0]:
             counts["bronze_rows"] = self._add_to_bronze(staged, batch_id)
             counts["silver_rows"] = self._update_silver_and_gold(staged, batch_id)
+        delete_path(self.spark, self.paths["work"])
         return seen[1]
 
+    def _stage(self, df: DataFrame, label: str) -> DataFrame:
+        """A written copy that lasts for this batch."""
+        path = f"{self.paths['work']}/{label}"
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _adopt_tables(self) -> None:
+        """Indexes and sums for tables that were written without them."""
+        if path_exists(self.spark, self.paths["silver"]) and not path_exists(self.spark, self.paths["changes"]):
+            for path in (self.events.path, self.slots.path, self.paths["totals"], self.paths["customers"]):
+                delete_path(self.spark, path)
+            self.events.put(self.bronze(), -1)
+            self.slots.put(self.silver(), -1)
+            self._add_to_sums(self.silver().withColumn("sign", F.lit(1)), -1)
+
     def _add_to_bronze(self, staged: DataFrame, batch_id: int) -> int:
-        # the batch owns its partition, so running it again replaces its own rows only
-        before = self.bronze().where(F.col("_microbatch_id") != batch_id)
-        seen = Observation()
-        fresh = insert_absent(before, staged, "event_id").observe(seen, F.count(F.lit(1)).alias("rows"))
+        # the batch owns its partition and its index entries, so running it again replaces its own rows only
+        self.events.fold(batch_id)
+        known = self.events.find(staged, but=batch_id)
+        fresh = self._stage(insert_absent(known, staged, "event_id"), "fresh")
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_microbatch_id").parquet(
             self.paths["bronze"]
         )
-        return seen.get["rows"]
+        self.events.put(fresh, batch_id)
+        return fresh.count()
 
     def _update_silver_and_gold(self, staged: DataFrame, batch_id: int) -> int:
-        rows = materialize(silver_orders(staged, F.current_timestamp(), self.grain), "orders")
-        silver = self.silver()
-        stored = materialize(silver.join(rows.select("order_id"), "order_id", "left_semi").select(*silver.columns), "stored")
-        seen = Observation()
-        accepted = materialize(accepted_rows(rows, stored).observe(seen, F.count(F.lit(1)).alias("rows")), "accepted")
-        keys = self._remember_keys(touched_keys(accepted, stored), batch_id)
-        superseded = stored.join(accepted.select("order_id"), "order_id", "left_semi")
-        slots = slots_of(accepted.select("event_slot").unionAll(superseded.select("event_slot")))
+        changes = self._plan_changes(staged, batch_id)
+        found = changes.groupBy("event_slot").agg(F.count_if(F.col("sign") > 0)).collect()  # one row for each slot
+        slots = sorted(r[0] for r in found)
         if slots:
-            target = silver.where(F.col("event_slot").isin(slots))
-            replace_slots(self.spark, upsert_rows(target, accepted, ["order_id"]), self.paths["silver"], slots)
-        self._refresh_gold(keys)
-        return seen.get["rows"]
-
-    def _remember_keys(self, keys: DataFrame, batch_id: int) -> DataFrame:
-        """Keys of this batch and of an earlier attempt at it, which may have moved rows before it failed."""
-        path = f"{self.paths['keys']}/batch={batch_id}"
-        if path_exists(self.spark, path):
-            earlier = self.spark.read.schema(KEY_SCHEMA).parquet(path)
-            keys = materialize(keys.unionByName(earlier).distinct(), "keys")
-        keys.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-        return self.spark.read.schema(KEY_SCHEMA).parquet(path)
-
-    def _refresh_gold(self, keys: DataFrame) -> None:
-        slots = slots_of(keys.select(slot("event_minute", self.grain).alias("event_slot")))
-        if not slots:
-            return
-        on = ["event_minute", "channel"]
-        silver = self.silver().where(F.col("event_slot").isin(slots))
-        affected = silver.withColumn("event_minute", minute("event_time")).join(keys, on, "left_semi")
-        fresh = minute_kpis(affected, F.current_timestamp()).withColumn("event_slot", slot("event_minute", self.grain))
-        gold = self.gold()
-        kept = gold.where(F.col("event_slot").isin(slots)).join(keys, on, "left_anti").select(*gold.columns)
-        replace_slots(self.spark, kept.unionByName(fresh), self.paths["gold"], slots)
+            accepted = changes.where("sign > 0").drop("sign")
+            replace_slots(self.spark, upsert_rows(self._silver_of(slots), accepted, ["order_id"]), self.paths["silver"], slots)
+            self.slots.fold(batch_id)
+            self.slots.put(accepted, batch_id)
+            self._add_to_sums(changes, batch_id)
+            self._refresh_gold(slots)
+        return sum(r[1] for r in found)
+
+    def _plan_changes(self, staged: DataFrame, batch_id: int) -> DataFrame:
+        """Rows that enter and leave silver. Written before any table changes; a batch that is run again finds its plan."""
+        path = f"{self.paths['changes']}/batch={batch_id}"
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            rows = self._stage(silver_orders(staged, F.current_timestamp(), self.grain), "orders")
+            lying_in = self.slots.find(rows)
+            stored = self._silver_of(slots_of(lying_in)).join(rows.select("order_id"), "order_id", "left_semi")
+            stored = self._stage(stored.select(*rows.columns), "stored")
+            accepted = self._stage(accepted_rows(rows, stored), "accepted")
+            changes_of(accepted, stored).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        for name in folder_names(self.spark, self.paths["changes"]):
+            if name != f"batch={batch_id}":
+                delete_path(self.spark, f"{self.paths['changes']}/{name}")
+        return self.spark.read.schema(CHANGE_SCHEMA).parquet(path)
+
+    def _silver_of(self, slots: list[str]) -> DataFrame:
+        return read_parts(self.spark, self.paths["silver"], SILVER_SCHEMA, [f"event_slot={s}" for s in slots])
+
+    def _add_to_sums(self, changes: DataFrame, batch_id: int) -> None:
+        now, slot_key = F.current_timestamp(), ["event_minute", "channel"]
+        customers = customer_deltas(changes)
+        counted = add_deltas(self.spark, self.paths["customers"], CUSTOMER_SCHEMA, customers, [*slot_key, "customer_id"],
+                             ["orders"], ["event_slot", "kpi_bucket"], batch_id, now)
+        there = (F.col("orders") > 0).cast("long") - (F.coalesce("before_orders", F.lit(0)) > 0).cast("long")
+        come = counted.groupBy("event_slot", *slot_key).agg(F.sum(there).alias("customers"))
+        sums = order_deltas(changes).withColumn("customers", F.lit(0)).unionByName(come, allowMissingColumns=True)
+        delta = sums.groupBy("event_slot", *slot_key).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*ORDERS, "customers")])
+        add_deltas(self.spark, self.paths["totals"], TOTAL_SCHEMA, delta, slot_key, [*ORDERS, "customers"], ["event_slot"],
+                   batch_id, now)
+
+    def _refresh_gold(self, slots: list[str]) -> None:
+        """The KPI rows of the slots, from the sums: one row for each minute and channel."""
+        totals = read_parts(self.spark, self.paths["totals"], TOTAL_SCHEMA, [f"event_slot={s}" for s in slots])
+        replace_slots(self.spark, gold_rows(totals), self.paths["gold"], slots)
 
     def _record(self, batch_id, counts, started, clock, lag, status, error) -> None:
         ms = int((time.perf_counter() - clock) * 1000)
