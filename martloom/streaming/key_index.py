@@ -86,10 +86,12 @@ class KeyIndex:
     def fold(self, batch: int) -> None:
         """Put together what batches before `batch` have added to buckets with too many folders.
 
-        The folded entries are written before the old ones go. A failure in between leaves
+        Looks every `fold_after` batches, so a bucket has twice as many folders at most. The folded entries are written before the old ones go. A failure in between leaves
         entries twice, which changes no look-up.
         """
         old = {}
+        if batch % self.fold_after:
+            return
         for bucket in range(self.buckets):
             names = folder_names(self.spark, f"{self.path}/bucket={bucket}")
             mine = [n for n in names if n.startswith("batch=") and int(n[6:]) < batch and int(n[6:]) != -batch]
