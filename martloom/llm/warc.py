@@ -10,19 +10,25 @@ from __future__ import annotations
 import html as markup
 import re
 from collections.abc import Iterator
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.llm.common import let
+
 #: Fixed value: the date of pages that carry none.
 NO_DATE = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 
 #: What may be a character reference: a number or a name, the last semicolon missing or not.
 REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{0,31};?)")
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>"
+# What is not closed is hidden to the end, so that no later beginning has to look for an end again.
+HIDDEN = r"(?is)<!--.*?(?:-->|END)|<script\b.*?(?:</script\s*>|END)|<style\b.*?(?:</style\s*>|END)|<head\b.*?(?:</head\s*>|END)".replace(
+    "END", r"(?![\s\S])"
+)
 BREAKS = r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|body|html|pre|blockquote)\b[^>]*>"
 
 
@@ -51,12 +57,31 @@ def decoded(texts: pa.Array) -> pa.Array:
 
 def plain_text(html: Column) -> Column:
     """Visible text: hidden parts go, block tags break lines, other tags vanish, entities are read once."""
-    text = F.regexp_replace(F.regexp_replace(html, HIDDEN, " "), BREAKS, "\n")
-    text = decoded(F.regexp_replace(text, "<[^>]*>", ""))
-    text = F.regexp_replace(text, r"[ \t\r]+", " ")
+    text = let(F.regexp_replace(html, HIDDEN, " "), _without_tags)
+    text = F.regexp_replace(decoded(text), r"[ \t\r]+", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(text, r" ?\n ?", "\n"), r"\n+", "\n"), F.lit(" \n"))
 
 
+def _without_tags(text: Column) -> Column:
+    # Tags end at the last '>' or before. Up to there every '<' finds its '>', and nothing is looked at twice.
+    rest = F.substring_index(text, ">", -1)
+    tagged = F.substring(text, F.lit(1), F.length(text) - F.length(rest))
+    return F.concat(F.regexp_replace(F.regexp_replace(tagged, BREAKS, "\n"), "<[^>]*>", ""), rest)
+
+
+def title(html: Column) -> Column:
+    """The text of the first title. If the first one has no end, no other has one."""
+    low = F.translate(html, "TITLE", "title")
+    start = F.instr(low, "<title")
+    return F.when(start > 0, F.regexp_extract(F.substring(html, start, F.length(html)), r"(?is)\A<title[^>]*>(.*?)</title", 1)).otherwise("")
+
+
+def outlinks(html: Column) -> Column:
+    """Anchors with a target, each read once up to its '>'."""
+    anchors = F.regexp_extract_all(html, F.lit(r"(?i)<a\s[^>]*+"), 0)
+    return F.size(F.filter(anchors, lambda a: F.contains(F.lower(a), F.lit("href"))))
+
+
 def responses(pages: DataFrame, date: str = NO_DATE) -> DataFrame:
     """Response records from (page_id, url, html): key, id, uri, date, http headers, payload, digest.
 
@@ -85,11 +110,11 @@ def derivatives(found: DataFrame) -> DataFrame:
     """
     text = plain_text(F.col("payload"))
     own = found.withColumn("__text", text).withColumn(
-        "__title", F.trim(F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title", 1))
+        "__title", F.trim(title(F.col("payload")))
     )
     fields = F.concat(
         F.lit("title: "), F.regexp_replace("__title", r"\s+", " "),
-        F.lit(f"{CRLF}outlinks: "), F.regexp_count("payload", F.lit(r"(?i)<a\s[^>]*href")).cast("string"),
+        F.lit(f"{CRLF}outlinks: "), outlinks(F.col("payload")).cast("string"),
         F.lit(f"{CRLF}html-bytes: "), F.octet_length("payload").cast("string"),
         F.lit(f"{CRLF}text-bytes: "), F.octet_length("__text").cast("string"),
         F.lit(CRLF),
@@ -117,7 +142,11 @@ def derivatives(found: DataFrame) -> DataFrame:
 
 
 def as_bytes(records: DataFrame) -> DataFrame:
-    """Each derived record in the form of the file format, as one string column `record`."""
+    """Each derived record in the form of the file format, as one string column `record`.
+
+    The source's status line and headers follow as `WARC-Source-Status`, `WARC-Source-Content-Type` and so on.
+    """
+    source = F.regexp_replace(F.rtrim(F.col("source_headers"), F.lit(CRLF)), CRLF, f"{CRLF}WARC-Source-")
     lines = [
         ("WARC-Type", F.col("type")),
         ("WARC-Record-ID", F.col("record_id")),
@@ -126,6 +155,7 @@ def as_bytes(records: DataFrame) -> DataFrame:
         ("WARC-Refers-To", F.col("refers_to")),
         ("WARC-Concurrent-To", F.col("concurrent_to")),
         ("WARC-Source-Payload-Digest", F.col("source_digest")),
+        ("WARC-Source-Status", source),
         ("WARC-Block-Digest", F.col("block_digest")),
         ("Content-Type", F.col("content_type")),
         ("Content-Length", F.col("length").cast("string")),
@@ -168,19 +198,54 @@ def read(spark, path: str) -> DataFrame:
     return files.mapInArrow(records, "headers map<string,string>, block binary")
 
 
+_REFERENCE_SQL = REFERENCE.pattern
+
+
 #: The derivatives in SQL, for the comparison with another engine.
-ORACLE = r"""
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _entities() -> str:
+    """Names and what they stand for, from the standard library's table."""
+    return ", ".join(f"({_quoted(name)}, {_quoted(value)})" for name, value in sorted(html5.items()))
+
+
+def _small_numbers() -> str:
+    """Numeric references below 160, some of which stand for other characters."""
+    return ", ".join(f"({n}, {_quoted(markup.unescape(f'&#{n};'))})" for n in range(160))
+
+
+ORACLE = rf"""
 WITH source AS (
   SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload,
          coalesce(page_id::VARCHAR, '-' || md5(coalesce(url, '') || ' ' || coalesce(html, ''))) AS key FROM pages),
 visible AS (
   SELECT *, regexp_replace(regexp_replace(regexp_replace(payload,
-    '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head\b.*?</head\s*>', ' ', 'gis'),
+    '<!--.*?(?:-->|$)|<script\b.*?(?:</script\s*>|$)|<style\b.*?(?:</style\s*>|$)|<head\b.*?(?:</head\s*>|$)', ' ', 'gis'),
     '</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|body|html|pre|blockquote)\b[^>]*>', chr(10), 'gi'),
     '<[^>]*>', '', 'g') AS bare FROM source),
+numbered AS (SELECT *, row_number() OVER () AS rid FROM visible),
+names(name, value) AS (VALUES {_entities()}),
+small(n, value) AS (VALUES {_small_numbers()}),
+cut AS (
+  SELECT rid, unnest(gaps) AS gap, unnest(list_concat(ms, [''])) AS ref, unnest(range(len(gaps))) AS i
+  FROM (SELECT rid, string_split_regex(bare, '{_REFERENCE_SQL}') AS gaps, regexp_extract_all(bare, '{_REFERENCE_SQL}') AS ms FROM numbered)),
+refs AS (SELECT DISTINCT ref, rtrim(ref[3:], ';') AS body FROM cut WHERE ref <> ''),
+numbers AS (
+  SELECT ref, CASE WHEN length(digits) > 7 THEN 9999999 WHEN hex THEN ('0x0' || digits)::BIGINT ELSE ('0' || digits)::BIGINT END AS n
+  FROM (SELECT ref, lower(body[1]) = 'x' AS hex, ltrim(CASE WHEN lower(body[1]) = 'x' THEN body[2:] ELSE body END, '0') AS digits
+        FROM refs WHERE ref[2] = '#')),
+meaning AS (
+  SELECT ref, CASE WHEN n > 1114111 OR n BETWEEN 55296 AND 57343 THEN chr(65533) WHEN n < 160 THEN value
+                   WHEN n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534 THEN '' ELSE chr(n::INTEGER) END AS v
+  FROM numbers LEFT JOIN small USING (n)
+  UNION ALL
+  SELECT ref, arg_max(value || ref[length(name) + 2:], length(name)) FROM refs JOIN names ON starts_with(ref[2:], name) GROUP BY ref),
 read_once AS (
-  SELECT *, replace(replace(replace(replace(replace(replace(replace(bare, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'),
-    '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&amp;', '&') AS plain FROM visible),
+  SELECT n.*, joined.plain FROM numbered n JOIN (
+    SELECT rid, string_agg(gap || CASE WHEN starts_with(v, chr(160)) THEN ' ' || v[2:] ELSE coalesce(v, ref) END, '' ORDER BY i) AS plain
+    FROM cut LEFT JOIN meaning USING (ref) GROUP BY rid) joined USING (rid)),
 texts AS (
   SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(plain, '[ \t\r]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'),
     '\n+', chr(10), 'g'), ' ' || chr(10)) AS text,
@@ -194,10 +259,10 @@ ids AS (
     || len(regexp_extract_all(payload, '<a\s[^>]*href', 0, 'i')) || chr(13) || chr(10) || 'html-bytes: ' || strlen(payload)
     || chr(13) || chr(10) || 'text-bytes: ' || strlen(text) || chr(13) || chr(10) AS fields FROM named),
 records AS (
-  SELECT *, unnest([{'type': 'metadata', 'record_id': id[2], 'concurrent_to': id[3],
-                     'content_type': 'application/warc-fields', 'block': fields},
-                    {'type': 'conversion', 'record_id': id[3], 'concurrent_to': id[2],
-                     'content_type': 'text/plain', 'block': text}]) AS r FROM ids)
+  SELECT *, unnest([{{'type': 'metadata', 'record_id': id[2], 'concurrent_to': id[3],
+                     'content_type': 'application/warc-fields', 'block': fields}},
+                    {{'type': 'conversion', 'record_id': id[3], 'concurrent_to': id[2],
+                     'content_type': 'text/plain', 'block': text}}]) AS r FROM ids)
 SELECT page_id, r.type AS type, r.record_id AS record_id, id[1] AS refers_to, r.concurrent_to AS concurrent_to, target_uri,
   '1970-01-01T00:00:00Z' AS date, r.content_type AS content_type, 'sha1:' || sha1(payload) AS source_digest,
   'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)

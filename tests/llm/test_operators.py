@@ -3,9 +3,11 @@
 import hashlib
 import html
 import re
+import time
 from bisect import insort
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -604,6 +606,9 @@ def test_warc_files_round_trip(spark, small, tmp_path):
     for r in rows:
         b = back[r.record_id]
         assert bytes(b.block).decode() == r.block
+        status, *fields = r.source_headers.split("\r\n")[:-1]
+        kept = {"WARC-Source-Status": status} | {f"WARC-Source-{k}": v for k, v in (f.split(": ", 1) for f in fields)}
+        assert len(kept) == 3 and kept.items() <= b.headers.items()
         assert b.headers["WARC-Refers-To"] == r.refers_to and b.headers["WARC-Block-Digest"] == r.block_digest
 
 
@@ -630,6 +635,41 @@ def test_conversions_equal_plain_python(spark, small):
         assert found[r.page_id].block == text and not re.search("&(copy|middot);", text)
 
 
+def test_hostile_pages_take_linear_time(spark):
+    n = 300_000
+    texts = ["<" * n, "<p" * n, "<!--" * n, "<script " * n, "<title>" * n, "<title " * n, "<a " * n, "<a " * n + ">", "&" * n, "<" * n + ">x", "</script" * n]
+    pages = spark.createDataFrame([(k, "u", t) for k, t in enumerate(texts)], "page_id long, url string, html string")
+    warc.derivatives(warc.responses(pages.limit(1))).count()  # compiled before the clock starts
+    began = time.monotonic()
+    found = {r.page_id: r for r in warc.derivatives(warc.responses(pages)).where("type = 'conversion'").collect()}
+    assert time.monotonic() - began < 60
+    assert found[0].block == "<" * n and found[2].block == "" and found[8].block == "&" * n and found[9].block == "x"
+
+
+def test_titles_and_outlinks(spark):
+    rows = ["<TITLE a=1>x</title><title>y</title>", "<title>x", "<titleY", "no", "<title>\n a </TITLE", "İ<title>x</title>",
+            "<a href=1><A\nx=1 HREF=2><a><ahref><a b><a <a href><a  <x href"]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    for r in df.select("t", warc.title(F.col("t")).alias("title"), warc.outlinks(F.col("t")).alias("n")).collect():
+        found = re.search(r"<title[^>]*>(.*?)</title", r.t, re.I | re.S)
+        assert r.title == (found.group(1) if found else "") and r.n == len(re.findall(r"<a\s[^>]*href", r.t, re.I))
+
+
+def test_warc_sql_on_awkward_pages(spark, tmp_path):
+    texts = [
+        "&copy2024 &ampx &notit; &unknown; & &; &#; &#x; &nbsp;&nbspd &NotEqualTilde; &amp;copy; &fjlig;", None, "", "a < b &lt; c > d",
+        "&#128; &#xD800; &#0; &#x110000; &#39;&#xFFFE;&#x1FFFF;&#64976;&#00000000065;&#99999999999999999999;&#160;x", "x<!-- open <p>y", "<p>a<p",
+        "<head><title>t &amp; u</title></head>b<script>c</script >d<style>e", "<a href=1><a <a href>x</a>", "z&Tab;&NewLine;&hellip;&acE;" * 40,
+    ]
+    rows = [(k, f"http://x/{k}", t) for k, t in enumerate(texts)] + [(None, None, "<p>n"), (1, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "p"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/p/*.parquet'")
+    got = warc.derivatives(warc.responses(spark.read.parquet(str(tmp_path / "p"))))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({warc.ORACLE})").fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.collect())
+
+
 def test_warc_cases(spark):
     rows = [(1, None, None), (2, "http://x/", ""), (None, "http://y/", "<p>a&amp;lt;b</p><script>x</script><!-- <p>no</p> -->"), (2, "http://x/", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "url AS type", "html AS block")
