@@ -117,10 +117,12 @@ def state_schema(keys: str, measures: Sequence[str], parts: str) -> str:
 
 def add_deltas(
     spark: SparkSession, path: str, schema: str, delta: DataFrame, keys: Sequence[str], measures: Sequence[str],
-    parts: Sequence[str], batch: int, at: Column,
+    parts: Sequence[str], batch: int,
 ) -> DataFrame:
     """Add signed `measures` to the sums by `keys` and return the rows that the batch changed.
 
+    `delta` has the keys, the measures and the time `updated`, of which a sum keeps the latest.
+
     Only the partitions with a change are read and written. Rows whose first measure, a
     count, has come down to 0 stay for the batch that did it, in case it runs again.
     """
@@ -135,7 +137,7 @@ def add_deltas(
     )
     new = delta.select(
         *keys, *parts, F.lit(True).alias("hit"), *measures, *[none.alias(f"before_{m}") for m in measures],
-        none.alias("batch"), F.lit(None).cast("timestamp").alias("updated"),
+        none.alias("batch"), "updated",
     )
     summed = old.unionByName(new).groupBy(*keys, *parts).agg(
         F.max("hit").alias("hit"),
@@ -148,7 +150,7 @@ def add_deltas(
         *keys, *measures,
         *[F.when(F.col("hit"), F.col(f"base_{m}")).otherwise(F.col(f"before_{m}")).alias(f"before_{m}") for m in measures],
         F.when(F.col("hit"), F.lit(batch)).otherwise(F.col("batch")).cast("long").alias("batch"),
-        F.when(F.col("hit"), at).otherwise(F.col("updated")).alias("updated"), *parts,
+        "updated", *parts,
     )
     write_parts(after.where((F.col(measures[0]) != 0) | (F.col("batch") == batch)), path, *parts)
     return read_parts(spark, path, schema, names).where(F.col("batch") == batch)

@@ -105,22 +105,23 @@ def changes_of(accepted: DataFrame, stored: DataFrame) -> DataFrame:
     return accepted.withColumn("sign", F.lit(1)).unionByName(leaving.withColumn("sign", F.lit(-1)))
 
 
-def order_deltas(changes: DataFrame) -> DataFrame:
-    """Signed counts and sums in cents by minute and channel."""
+def order_deltas(changes: DataFrame, at: Column) -> DataFrame:
+    """Signed counts and sums in cents by minute and channel; `at` is the time of a change."""
     sums, known = [], []
     for column, name in (("order_total", "gross"), ("discount_amount", "discounts"), ("net_revenue", "net")):
         sums.append(F.coalesce(F.sum(m.cents(column) * F.col("sign")), F.lit(0)).alias(name))
         known.append(F.sum(F.when(F.col(column).isNotNull(), F.col("sign")).otherwise(0)).alias(f"{name}_known"))
-    return _by_minute(changes).agg(F.sum("sign").alias("orders"), *sums, *known)
+    return _by_minute(changes).agg(F.sum("sign").alias("orders"), *sums, *known, F.max(at).alias("updated"))
 
 
 def _by_minute(changes: DataFrame, *more: str):
     return changes.withColumn("event_minute", minute("event_time")).groupBy("event_slot", "event_minute", "channel", *more)
 
 
-def customer_deltas(changes: DataFrame) -> DataFrame:
+def customer_deltas(changes: DataFrame, at: Column) -> DataFrame:
     """Signed counts of orders by minute, channel and customer: a multiset, so that the last order takes the customer away."""
-    counted = _by_minute(changes.where("customer_id IS NOT NULL"), "customer_id").agg(F.sum("sign").alias("orders"))
+    known = _by_minute(changes.where("customer_id IS NOT NULL"), "customer_id")
+    counted = known.agg(F.sum("sign").alias("orders"), F.max(at).alias("updated"))
     return counted.withColumn("kpi_bucket", F.pmod(F.xxhash64("event_minute", "channel"), F.lit(KPI_BUCKETS)).cast("int"))
 
 
@@ -154,6 +155,27 @@ def replace_slots(spark: SparkSession, merged: DataFrame, path: str, slots: list
         delete_path(spark, f"{path}/event_slot={name}")
 
 
+def add_to_sums(spark: SparkSession, root: str, changes: DataFrame, batch_id: int, at: Column) -> None:
+    """Fold signed silver rows into the sums by minute and channel; running a batch again changes nothing."""
+    root, by_minute = root.rstrip("/"), ["event_minute", "channel"]
+    counted = add_deltas(spark, f"{root}/customers", CUSTOMER_SCHEMA, customer_deltas(changes, at), [*by_minute, "customer_id"],
+                         ["orders"], ["event_slot", "kpi_bucket"], batch_id)
+    there = (F.col("orders") > 0).cast("long") - (F.coalesce("before_orders", F.lit(0)) > 0).cast("long")
+    come = counted.groupBy("event_slot", *by_minute).agg(F.sum(there).alias("customers"))
+    sums = order_deltas(changes, at).withColumn("customers", F.lit(0)).unionByName(come, allowMissingColumns=True)
+    measures = [*ORDERS, "customers"]
+    delta = sums.groupBy("event_slot", *by_minute).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in measures], F.max("updated").alias("updated")
+    )
+    add_deltas(spark, f"{root}/totals", TOTAL_SCHEMA, delta, by_minute, measures, ["event_slot"], batch_id)
+
+
+def refresh_gold(spark: SparkSession, root: str, gold: str, slots: list[str]) -> None:
+    """The KPI rows of the slots, from the sums: one row for each minute and channel."""
+    totals = read_parts(spark, f"{root.rstrip('/')}/totals", TOTAL_SCHEMA, [f"event_slot={s}" for s in slots])
+    replace_slots(spark, gold_rows(totals), gold, slots)
+
+
 @dataclass
 class LiveSales:
     """The stream's tables under one folder, and the function that folds a batch into them."""
@@ -280,21 +302,10 @@ class LiveSales:
         return read_parts(self.spark, self.paths["silver"], SILVER_SCHEMA, [f"event_slot={s}" for s in slots])
 
     def _add_to_sums(self, changes: DataFrame, batch_id: int) -> None:
-        now, slot_key = F.current_timestamp(), ["event_minute", "channel"]
-        customers = customer_deltas(changes)
-        counted = add_deltas(self.spark, self.paths["customers"], CUSTOMER_SCHEMA, customers, [*slot_key, "customer_id"],
-                             ["orders"], ["event_slot", "kpi_bucket"], batch_id, now)
-        there = (F.col("orders") > 0).cast("long") - (F.coalesce("before_orders", F.lit(0)) > 0).cast("long")
-        come = counted.groupBy("event_slot", *slot_key).agg(F.sum(there).alias("customers"))
-        sums = order_deltas(changes).withColumn("customers", F.lit(0)).unionByName(come, allowMissingColumns=True)
-        delta = sums.groupBy("event_slot", *slot_key).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*ORDERS, "customers")])
-        add_deltas(self.spark, self.paths["totals"], TOTAL_SCHEMA, delta, slot_key, [*ORDERS, "customers"], ["event_slot"],
-                   batch_id, now)
+        add_to_sums(self.spark, self.root, changes, batch_id, F.current_timestamp())
 
     def _refresh_gold(self, slots: list[str]) -> None:
-        """The KPI rows of the slots, from the sums: one row for each minute and channel."""
-        totals = read_parts(self.spark, self.paths["totals"], TOTAL_SCHEMA, [f"event_slot={s}" for s in slots])
-        replace_slots(self.spark, gold_rows(totals), self.paths["gold"], slots)
+        refresh_gold(self.spark, self.root, self.paths["gold"], slots)
 
     def _record(self, batch_id, counts, started, clock, lag, status, error) -> None:
         ms = int((time.perf_counter() - clock) * 1000)
