@@ -21,6 +21,8 @@ from martloom.session import materialize, scratch_path
 SLOTS = 4096
 #: Bytes a record takes besides its text.
 RECORD_BYTES = 16
+#: Equal records that are dealt out by one task.
+REPEATS = 1000
 
 
 def record_size(text: Column) -> Column:
@@ -112,6 +114,21 @@ def load_map(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{root}/v{version}")
 
 
+def _with_turn(records: DataFrame) -> DataFrame:
+    """The records with `turn`: 0, 1, 2, ... for equal ones.
+
+    Equal records are counted, which combines before the shuffle, and made again from
+    their number, REPEATS of them in a task: a record repeated any number of times is dealt
+    to all slots like so many different ones, the same way in any run.
+    """
+    counted = records.groupBy(*records.columns).count()
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("count") - 1) / REPEATS).cast("long")))
+    parts = counted.withColumn("part", part).repartition(*records.columns, "part")
+    first = F.col("part") * REPEATS
+    turn = F.explode(F.sequence(first, F.least(first + REPEATS, F.col("count")) - 1))
+    return parts.withColumn("turn", turn).drop("count", "part")
+
+
 def shard(docs: DataFrame, shards: int, root: str | None = None, slots: int = SLOTS) -> DataFrame:
     """Every document with its shard, so that the shards hold nearly the same bytes.
 
@@ -121,15 +138,15 @@ def shard(docs: DataFrame, shards: int, root: str | None = None, slots: int = SL
     to the measured bytes.
 
     A null text has no bytes and the checksum of the empty text. Null ids are spread by
-    the checksum. Repeated rows share a virtual slot and get positions of their own.
+    the checksum. Rows that are equal in id, size and checksum are spread by their number.
     An empty table gives no rows. Other columns of `docs` are not read.
     """
     spark = docs.sparkSession
     root = root or scratch_path(spark, "slot-map")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     records = materialize(
-        docs.select("doc_id", record_size(F.col("text")).alias("size"), crc.alias("text_crc32")).withColumn(
-            "v_slot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int")
+        _with_turn(docs.select("doc_id", record_size(F.col("text")).alias("size"), crc.alias("text_crc32"))).withColumn(
+            "v_slot", F.pmod(F.xxhash64("doc_id", "text_crc32", "turn"), F.lit(slots)).cast("int")
         ),
         "slots",
     )
@@ -142,7 +159,7 @@ def shard(docs: DataFrame, shards: int, root: str | None = None, slots: int = SL
     save_map(spark, root, 1, rebalance(first, weights, shards), rows)
     # the map has `slots` rows whatever the input holds
     placed = records.join(F.broadcast(load_map(spark, root, 1)), "v_slot")
-    turn = Window.partitionBy("v_slot").orderBy("doc_id", "text_crc32", "size")
+    turn = Window.partitionBy("v_slot").orderBy("doc_id", "text_crc32", "size", "turn")
     return placed.select(
         "doc_id",
         "size",

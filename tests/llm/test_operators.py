@@ -579,6 +579,27 @@ def test_lone_queries_get_k_neighbours(spark):
     assert found == {i: 10 for i, _ in rows}
 
 
+# --- sharding with repeats
+
+
+def test_shards_stay_even_when_one_row_repeats(spark):
+    docs = spark.range(4000).select(
+        F.when(F.col("id") < 2000, F.col("id")).otherwise(-1).alias("doc_id"),
+        F.when(F.col("id") < 2000, F.concat(F.lit("text "), F.col("id").cast("string"))).otherwise("x" * 200).alias("text"),
+    )
+    nulls = docs.limit(1500).select(F.lit(None).cast("long").alias("doc_id"), F.lit("n" * 90).alias("text"))
+    docs = docs.unionByName(nulls)
+    rows = sharding.shard(docs, 5).collect()
+    assert Counter((r.doc_id, r.size) for r in rows) == Counter((r.doc_id, len(r.text) + 16) for r in docs.collect())
+    loads = Counter()
+    for r in rows:
+        loads[r.shard] += r["size"]
+    assert max(loads.values()) - min(loads.values()) < 0.01 * min(loads.values())
+    for shard in range(5):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, sharding.shard(docs.repartition(7), 5).collect()))
+
+
 # --- WARC
 
 
