@@ -26,9 +26,7 @@ CRLF = "\r\n"
 #: What may be a character reference: a number or a name, the last semicolon missing or not.
 REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{0,31};?)")
 # What is not closed is hidden to the end, so that no later beginning has to look for an end again.
-HIDDEN = r"(?is)<!--.*?(?:-->|END)|<script\b.*?(?:</script\s*>|END)|<style\b.*?(?:</style\s*>|END)|<head\b.*?(?:</head\s*>|END)".replace(
-    "END", r"(?![\s\S])"
-)
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<head\b.*?(?:</head\s*>|\z)"
 BREAKS = r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|body|html|pre|blockquote)\b[^>]*>"
 
 
@@ -70,10 +68,8 @@ def _without_tags(text: Column) -> Column:
 
 
 def title(html: Column) -> Column:
-    """The text of the first title. If the first one has no end, no other has one."""
-    low = F.translate(html, "TITLE", "title")
-    start = F.instr(low, "<title")
-    return F.when(start > 0, F.regexp_extract(F.substring(html, start, F.length(html)), r"(?is)\A<title[^>]*>(.*?)</title", 1)).otherwise("")
+    """The text of the first title. If the first one has no end, no other has one, and the search is over."""
+    return F.regexp_extract(html, r"(?is)<title[^>]*+(?:>(?:(.*?)</title|.*+)|\z)", 1)
 
 
 def outlinks(html: Column) -> Column:

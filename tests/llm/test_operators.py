@@ -649,7 +649,7 @@ def test_conversions_equal_plain_python(spark, small):
     pages = table(spark, small, "pages")
     found = {r.page_id: r for r in warc.derivatives(warc.responses(pages)).where("type = 'conversion'").collect()}
     for r in pages.collect():
-        text = re.sub(warc.HIDDEN[5:], " ", r.html or "", flags=re.I | re.S)
+        text = re.sub(warc.HIDDEN[5:].replace(r"\z", r"\Z"), " ", r.html or "", flags=re.I | re.S)
         text = re.sub("<[^>]*>", "", re.sub(warc.BREAKS[4:], "\n", text, flags=re.I))
         text = re.sub(r"[ \t\r]+", " ", html.unescape(text).replace("\xa0", " "))
         text = re.sub(r"\n+", "\n", re.sub(r" ?\n ?", "\n", text)).strip(" \n")
