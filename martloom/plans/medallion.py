@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martloom.plans import quality, silver
 from martloom.plans.lakehouse import GENAI, GOLD, SILVER, lakehouse
-from martloom.sources.sinks import logged_run, stamp, write_latest_and_history, write_table
+from martloom.sources.run_table import RunTable
+from martloom.sources.sinks import logged_run, stamp, write_table
 from martloom.sources.tables import TableSet
 
 
@@ -47,9 +48,11 @@ def build_lakehouse(
 
     with logged_run(spark, log, run_id, "check_quality", "quality") as run:
         results, _ = quality.run_rules(spark, bronze, as_of, run_id, at)
+        runs = RunTable(spark, f"{root}/quality/quality_results_history")
+        runs.commit(results)
         latest = f"{root}/quality/quality_results"
-        write_latest_and_history(results, latest, f"{root}/quality/quality_results_history")
-        results = spark.read.parquet(latest)
+        write_table(runs.latest(), latest)  # a copy for readers of plain folders, made again by every run
+        results = runs.latest()
         samples = quality.failure_samples(spark, bronze, results, as_of, at)
         write_table(samples, f"{root}/quality/quality_failure_samples", "append")
         summary = quality.quality_summary(results)

@@ -11,6 +11,7 @@ from martloom.operators import aggregates as ag, joins as jn, ordering as od, wi
 from martloom.plans import assistant, quality, silver
 from martloom.session import scratch_path
 from martloom.sources import sinks
+from martloom.sources.run_table import RunTable
 from martloom.sources.tables import TableSet, catalog_tables
 from verification.common import Registry
 from verification.ctes import AS_OF, LINE_NET, mean, money, pct, sql
@@ -176,11 +177,11 @@ R.add(
 
 
 def latest_history(x):
-    latest, history = scratch_path(x.spark, "s13"), scratch_path(x.spark, "s13h")
+    runs = RunTable(x.spark, scratch_path(x.spark, "s13"))
     for status in ("Active", "Inactive"):
-        sinks.write_latest_and_history(x.source["suppliers"].where(col("status") == status), latest, history)
-    now = read(x, latest).select("supplier_id", F.lit(True).alias("latest"))
-    return read(x, history).select("supplier_id").join(now, "supplier_id", "left")
+        runs.commit(x.source["suppliers"].where(col("status") == status))
+    now = runs.latest().select("supplier_id", F.lit(True).alias("latest"))
+    return runs.history().select("supplier_id").join(now, "supplier_id", "left")
 
 
 R.add(

@@ -175,13 +175,13 @@ R.add(
 
 def latest_and_history(x):
     from martloom.session import scratch_path
-    from martloom.sources.sinks import write_latest_and_history
+    from martloom.sources.run_table import RunTable
 
-    latest, history = scratch_path(x.spark, "latest"), scratch_path(x.spark, "history")
-    write_latest_and_history(results(x), latest, history)
-    write_latest_and_history(results(x), latest, history)
-    rows = x.spark.read.parquet(history).groupBy("rule_id").agg(F.count(F.lit(1)).alias("runs"))
-    return x.spark.read.parquet(latest).select("rule_id", "status").join(rows, "rule_id")
+    table = RunTable(x.spark, scratch_path(x.spark, "runs"))
+    for run_id in ("r1", "r2", "r2"):  # a run that is repeated counts once
+        table.commit(results(x), run_id)
+    rows = table.history().groupBy("rule_id").agg(F.count(F.lit(1)).alias("runs"))
+    return table.latest().select("rule_id", "status").join(rows, "rule_id")
 
 
 R.add(
