@@ -41,7 +41,7 @@ ORDERS = ("orders", "gross", "discounts", "net", "gross_known", "discounts_known
 TOTAL_SCHEMA = state_schema(MINUTE, (*ORDERS, "customers"), "event_slot string")
 CUSTOMER_SCHEMA = state_schema(MINUTE + ", customer_id string", ("orders",), "event_slot string, kpi_bucket int")
 #: Parts of a slot by minute and channel, for the counts of orders by customer.
-KPI_BUCKETS = 64
+KPI_BUCKETS = 8
 METRIC_SCHEMA = (
     "input_rows long, bronze_rows long, silver_rows long, batch_started_at timestamp, batch_finished_at timestamp,"
     " processing_ms long, event_lag_seconds double, status string, error_message string, stream_name string,"
