@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.functions import labels, money as m
 from martloom.functions.dates import age_days
-from martloom.operators.aggregates import count_when, distinct_when, sum_when
+from martloom.operators.aggregates import count_when, distinct_when, sum_when, with_distinct
 from martloom.operators.joins import attach, enrich, match, one_row, zero_fill
 from martloom.plans.silver import approved_refunds
 
@@ -31,15 +31,20 @@ def _live_count() -> Column:
 
 
 def daily_sales_summary(t: Tables) -> DataFrame:
-    return t["fact_orders"].groupBy("order_date", "channel").agg(
-        F.count_distinct("order_id").alias("order_attempts"),
-        distinct_when(live(), "order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        m.dollars(m.total("net_revenue")).alias("total_revenue"),
-        m.mean_cents(_live_sum(), _live_count()).alias("avg_order_value"),
-        m.dollars(sum_when(live(), m.cents("discount_amount"))).alias("total_discounts"),
-        count_when(~live()).alias("cancelled_orders"),
-    )
+    day = with_distinct(
+        t["fact_orders"], ["order_date", "channel"], "order_id", {"order_attempts": None, "total_orders": live()},
+        others={"unique_customers": ("customer_id", None)},
+        totals={
+            "_revenue": m.total("net_revenue"), "_live_revenue": _live_sum(), "_live_rows": _live_count(),
+            "_discounts": sum_when(live(), m.cents("discount_amount")), "cancelled_orders": count_when(~live()),
+        },
+    )
+    return day.select(
+        "order_date", "channel", "order_attempts", "total_orders", "unique_customers",
+        m.dollars(F.col("_revenue")).alias("total_revenue"),
+        m.mean_cents(F.col("_live_revenue"), F.col("_live_rows")).alias("avg_order_value"),
+        m.dollars(F.col("_discounts")).alias("total_discounts"), "cancelled_orders",
+    )
 
 
 def customer_kpis(t: Tables, as_of: dt.date) -> DataFrame:
@@ -106,13 +111,15 @@ def product_kpis(t: Tables) -> DataFrame:
 
 
 def store_performance(t: Tables) -> DataFrame:
-    sold = t["fact_orders"].groupBy("store_id").agg(
-        F.count_distinct("order_id").alias("order_attempts"),
-        distinct_when(live(), "order_id").alias("total_orders"),
-        distinct_when(live(), "customer_id").alias("unique_customers"),
-        m.dollars(m.total("net_revenue")).alias("total_revenue"),
-        m.mean(_live_sum(), _live_count()).alias("avg_order_value"),
-    )
+    sold = with_distinct(
+        t["fact_orders"], ["store_id"], "order_id", {"order_attempts": None, "total_orders": live()},
+        others={"unique_customers": ("customer_id", live())},
+        totals={"_revenue": m.total("net_revenue"), "_live_revenue": _live_sum(), "_live_rows": _live_count()},
+    ).select(
+        "store_id", "order_attempts", "total_orders", "unique_customers",
+        m.dollars(F.col("_revenue")).alias("total_revenue"),
+        m.mean(F.col("_live_revenue"), F.col("_live_rows")).alias("avg_order_value"),
+    )
     measures = sold.columns[1:]
     s = zero_fill(attach(t["dim_stores"], [sold], "store_id"), measures)
     return s.select("store_id", "store_name", "city", "state", "store_type", *measures)

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.operators import aggregates as ag, joins as jn, ordering as od, windows as wn
+from martloom.plans.lakehouse import lakehouse
 from martloom.sources import sinks
+from martloom.sources.tables import latest_order_date, retail_tables
 
 
 def keys(spark, items):
@@ -171,3 +173,33 @@ def test_hot_join_key_keeps_every_row(spark):
     dims = spark.range(9000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
     got = jn.enrich(facts, dims, "k").agg(F.count("*").alias("n"), F.count_if(F.col("k") == 7).alias("hot"), F.count("d").alias("d")).first()
     assert (got.n, got.hot, got.d) == (9000, 3001, 9000)
+
+
+def test_distinct_counts_equal_count_distinct_without_copies(spark):
+    pick = random.Random(7)
+    rows = [
+        (pick.choice([None, "hot", "hot", "hot", "a", "b"]), pick.choice([None, 1]), pick.choice([None, *range(9)]),
+         pick.choice([None, *range(4)]), pick.choice([None, "x", "y"]), pick.choice([None, 3, -2])) for _ in range(400)
+    ] + [("null values", 1, None, None, "x", None), ("never live", 2, 1, 1, "x", 5)]
+    df = spark.createDataFrame(rows, "g string, h int, o int, c int, s string, v long")
+    live = F.col("s") == "y"
+    got = ag.with_distinct(
+        df, ["g", "h"], "o", {"orders": None, "live_orders": live}, others={"buyers": ("c", None), "live_buyers": ("c", live)},
+        totals={"value": F.sum("v"), "n": ag.count_when(live)},
+    )
+    want = df.groupBy("g", "h").agg(
+        F.count_distinct("o").alias("orders"), ag.distinct_when(live, "o").alias("live_orders"),
+        F.count_distinct("c").alias("buyers"), ag.distinct_when(live, "c").alias("live_buyers"),
+        F.sum("v").alias("value"), ag.count_when(live).alias("n"),
+    )
+    names = want.columns
+    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, want.collect()))
+    assert got.select(names).dtypes == want.dtypes
+    assert "Expand" not in got._jdf.queryExecution().toString()
+    assert ag.with_distinct(df.limit(0), ["g"], "o", {"n": None}, others={"m": ("c", None)}).count() == 0
+
+
+@pytest.mark.parametrize("table", ["daily_sales_summary", "store_performance"])
+def test_reports_with_several_distinct_counts_have_no_expand(spark, small, table):
+    made = lakehouse(spark, retail_tables(spark, small), latest_order_date(spark, small))[table]
+    assert "Expand" not in made._jdf.queryExecution().toString()

@@ -501,9 +501,9 @@ R.add(
 )
 R.add(
     "a3_distinct",
-    lambda x: x.source["orders"].groupBy("store_id").agg(
-        F.count_distinct("order_id").alias("orders"), F.count_distinct("customer_id").alias("customers"),
-        ag.distinct_when(col("status") != "Cancelled", "customer_id").alias("live_customers")),
+    lambda x: ag.with_distinct(
+        x.source["orders"], ["store_id"], "customer_id",
+        {"customers": None, "live_customers": col("status") != "Cancelled"}, others={"orders": ("order_id", None)}),
     sql(
         "SELECT store_id, COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT customer_id) AS customers,"
         " COUNT(DISTINCT CASE WHEN status <> 'Cancelled' THEN customer_id END) AS live_customers FROM src_orders GROUP BY store_id"
