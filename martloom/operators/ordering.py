@@ -24,6 +24,41 @@ def repeatable_limit(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*keys).limit(n)
 
 
+def first_by_digest(
+    df: DataFrame, key: str, ties: Sequence[str], n: int, *, digits: int = 3, sortable: int = 10_000
+) -> DataFrame:
+    """The first `n` rows in the order of a hexadecimal digest, then of `ties`, without sorting the table.
+
+    The last digest taken is found by counting: rows per prefix of `digits` characters, then per longer prefix
+    inside the one that holds the n-th row, until at most `sortable` rows share it. Only those are ordered, and the
+    result is a filter. Digests and ties together must be unique; digest NULL is never taken. `df` is read about
+    log(rows) / log(16^digits) times, so it should be a written table.
+    """
+    taken = df.where(F.col(key).isNotNull())
+    prefix, before, inside = "", 0, None
+    while inside is None or inside > sortable:
+        piece = F.substring(key, 1, len(prefix) + digits)
+        counts = taken.where(F.col(key).startswith(prefix)).groupBy(piece.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        found = None
+        for row in sorted(counts.collect()):  # at most 16^digits prefixes
+            if before + row.n >= n:
+                found = row
+                break
+            before += row.n
+        if found is None:  # fewer than n rows in all
+            return taken
+        if found.p == prefix:  # the digest has no further digits
+            break
+        prefix, inside = found.p, found.n
+    order = [key, *ties]
+    last = taken.where(F.col(key).startswith(prefix)).orderBy(*order).offset(max(n - before - 1, 0)).limit(1).select(*order)
+    edge = last.first() if n > 0 else None
+    if edge is None:
+        return taken.limit(0)
+    limit = F.struct(*[F.lit(v).cast(taken.schema[c].dataType).alias(c) for c, v in zip(order, edge)])
+    return taken.where(F.struct(*order) <= limit)
+
+
 def ordered_split(df: DataFrame, key: str, fraction: float) -> tuple[DataFrame, DataFrame]:
     """The first `fraction` of the rows by key, and the rest."""
     placed = numbered(df, [F.col(key).asc()], "_position")

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martloom.functions import money as m
 from martloom.functions.dates import age_days, as_date
 from martloom.operators.joins import enrich, match, missing
-from martloom.operators.windows import numbered, running_total
+from martloom.operators.ordering import first_by_digest
+from martloom.operators.windows import running_total
 from martloom.plans.quality import eligible_purchases
 from martloom.session import materialize
 
@@ -104,13 +105,28 @@ def eligible_pairs(t: Tables, as_of: dt.date) -> DataFrame:
 def select_returns(t: Tables, as_of: dt.date, quota: int, every_returned: bool = True) -> DataFrame:
     """One approved return for every returned order, then other eligible pairs until the quota is full.
 
-    The rest is taken in the order of a hash, so the choice looks random and repeats. A quota that cannot
-    be filled is an error, and so is a returned order without an eligible product unless `every_returned`
-    is False; such orders then get no return.
+    The rest is taken in the order of a hash, so the choice looks random and repeats; where it ends is found by
+    counting, not by sorting all pairs. A quota that cannot be filled is an error, and so is a returned order
+    without an eligible product unless `every_returned` is False; such orders then get no return.
     """
-    pairs = materialize(eligible_pairs(t, as_of), "eligible-pairs")
-    forced = pairs.where(F.col("status") == "Returned").groupBy("order_id").agg(F.min("product_id").alias("product_id"))
-    n_forced = forced.count()
+    placed = as_date("order_date") < F.lit(as_of)
+    returned = t["orders"].where((F.col("status") == "Returned") & placed).select("order_id")
+    first = match(t["order_items"].select("order_id", "product_id"), returned, "order_id").groupBy("order_id").agg(
+        F.min("product_id").alias("_first"), F.lit(True).alias("_returned")
+    )
+    digest = F.md5(F.concat_ws("-", F.col("order_id").cast("string"), F.col("product_id").cast("string")))
+    picked = F.coalesce(F.col("_returned") & F.col("product_id").eqNullSafe(F.col("_first")), F.lit(False))
+    # written once, with everything the counts and the choice need
+    pairs = materialize(
+        enrich(eligible_pairs(t, as_of), first, "order_id").select(
+            "order_id", "product_id", "status", picked.alias("_picked"), F.when(~picked, digest).alias("_key")
+        ),
+        "eligible-pairs",
+    )
+    forced = pairs.where(F.col("_picked") & (F.col("status") == "Returned")).select("order_id", "product_id")
+    n_pairs, n_forced = pairs.agg(
+        F.count(F.lit(1)), F.count_if(F.col("_picked") & (F.col("status") == "Returned"))
+    ).first()
     if n_forced > quota:
         raise ValueError(f"{n_forced} returned orders do not fit a quota of {quota} returns")
     if every_returned:
@@ -118,13 +134,9 @@ def select_returns(t: Tables, as_of: dt.date, quota: int, every_returned: bool =
         lacking = missing(asked, forced, ["order_id"]).count()
         if lacking:
             raise ValueError(f"{lacking} returned orders have no eligible product")
-    n_pairs = pairs.count()
     if n_pairs < quota:
         raise ValueError(f"{n_pairs} eligible pairs do not fill a quota of {quota} returns")
-    rest = missing(pairs.select("order_id", "product_id"), forced, ["order_id", "product_id"])
-    key = F.md5(F.concat_ws("-", F.col("order_id").cast("string"), F.col("product_id").cast("string")))
-    placed = numbered(rest.withColumn("_key", key), [F.col("_key").asc(), F.col("order_id"), F.col("product_id")])
-    taken = placed.where(F.col("position") <= quota - n_forced)
+    taken = first_by_digest(pairs, "_key", ["order_id", "product_id", "status"], quota - n_forced)
     return forced.select("order_id", "product_id", F.lit(True).alias("forced")).unionByName(
         taken.select("order_id", "product_id", F.lit(False).alias("forced"))
     )

@@ -203,3 +203,19 @@ def test_distinct_counts_equal_count_distinct_without_copies(spark):
 def test_reports_with_several_distinct_counts_have_no_expand(spark, small, table):
     made = lakehouse(spark, retail_tables(spark, small), latest_order_date(spark, small))[table]
     assert "Expand" not in made._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("digits, sortable", [(1, 3), (3, 10_000), (2, 1)])
+def test_first_by_digest_equals_sorting(spark, digits, sortable):
+    pick = random.Random(3)
+    # one digest shared by many rows, digests that differ only at their end, a NULL digest and NULL ties
+    rows = [("ab" * 4, i, None) for i in range(40)] + [(f"abababa{i:x}", 0, "t") for i in range(9)]
+    rows += [(f"{pick.getrandbits(32):08x}", i, "u") for i in range(120)] + [(None, 1, "n"), ("ab" * 4, None, "s")]
+    df = spark.createDataFrame(rows, "key string, a int, b string").repartition(5)
+    ordered = sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2] or ""))
+    for n in (-1, 0, 1, 30, 60, 89, 170, 500):
+        got = od.first_by_digest(df, "key", ["a", "b"], n, digits=digits, sortable=sortable)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, ordered[: max(n, 0)])), n
+    plan = got._jdf.queryExecution().toString()
+    assert "Sort" not in plan and "Window" not in plan
+    assert od.first_by_digest(df.limit(0), "key", ["a", "b"], 3).count() == 0

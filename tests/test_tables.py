@@ -169,3 +169,13 @@ def test_whole_lakehouse_is_written(spark, small, tmp_path):
         (s, "SUCCEEDED") for s in ("load_bronze", "check_quality", "build_silver", "build_gold", "build_genai")
     }
     assert spark.read.parquet(str(tmp_path / "quality/quality_results")).count() == 36
+
+
+def test_return_quota_takes_each_pair_once(spark, t):
+    full = {**t, "orders": t["orders"].withColumn("status", F.expr("if(order_id % 2 = 0, 'Returned', 'Completed')"))}
+    pairs = order_states.eligible_pairs(full, AS_OF)
+    n = pairs.count()
+    got = order_states.select_returns(full, AS_OF, n, every_returned=False).collect()
+    assert sorted((r.order_id, r.product_id) for r in got) == sorted((r.order_id, r.product_id) for r in pairs.collect())
+    first = pairs.where("status = 'Returned'").groupBy("order_id").agg(F.min("product_id"))
+    assert sorted((r.order_id, r.product_id) for r in got if r.forced) == sorted(map(tuple, first.collect()))
