@@ -12,11 +12,10 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom.operators.joins import missing
-from martloom.plans.quality import violation_counts
+from martloom.plans.quality import in_halves, violation_counts
 from martloom.plans.quality_rules import RULES
 
 Tables = Mapping[str, DataFrame]
@@ -34,10 +33,23 @@ class ValidationError(ValueError):
     """A core or object check failed."""
 
 
+class RuleCount(NamedTuple):
+    """Violations of a quality rule. Checks of this kind share the scans and ledgers of the rules."""
+
+    rule_id: str
+
+
+class RowsWhere(NamedTuple):
+    """Rows of a table that meet a condition. Checks on one table share its scan."""
+
+    table: str
+    condition: str
+
+
 class Check(NamedTuple):
     name: str
     category: str
-    actual: Callable[[SparkSession, Tables, dt.date], DataFrame]
+    actual: RuleCount | RowsWhere | Callable[[SparkSession, Tables, dt.date], DataFrame]
     expected: str = "0"  # "0", ">0", or the name of a table whose row count is expected
     if_missing: str = "FAIL"
 
@@ -46,44 +58,33 @@ def _rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("actual"))
 
 
-def _rule(rule_id: str):
-    def run(spark, t, as_of):
-        return violation_counts(spark, t, [RULE[rule_id]], as_of).select(F.col("failed_records").alias("actual"))
-
-    return run
-
-
 def _unmatched(left: str, right: str, *keys: str):
     return lambda spark, t, as_of: _rows(missing(t[left], t[right], list(keys)))
 
 
-def _where(table: str, condition: str):
-    return lambda spark, t, as_of: _rows(t[table].where(condition))
-
-
 CHECKS: tuple[Check, ...] = (
     Check("orders_customer_fk", "core", _unmatched("orders", "customers", "customer_id")),
     Check("items_order_fk", "core", _unmatched("order_items", "orders", "order_id")),
     Check("returns_product_order_fk", "core", _unmatched("returns", "order_items", "order_id", "product_id")),
-    Check("cancelled_shipments", "core", _rule("QR029")),
-    Check("future_orders", "core", _rule("QR007")),
-    Check("order_gross_reconciliation", "core", _rule("QR025")),
-    Check("returned_orders_have_approved_return", "core", _rule("QR031")),
-    Check("noncancelled_orders_have_completed_payment", "core", _rule("QR032")),
-    Check("cancelled_orders_have_no_completed_payment", "core", _rule("QR033")),
-    Check("negative_inventory_stock", "core", _rule("QR034")),
-    Check("shipment_delivery_temporal", "core", _rule("QR035")),
-    Check("return_date_temporal", "core", _rule("QR036")),
-    Check("dq_rule_errors", "core", _where("quality_results", "status = 'ERROR'")),
+    Check("cancelled_shipments", "core", RuleCount("QR029")),
+    Check("future_orders", "core", RuleCount("QR007")),
+    Check("order_gross_reconciliation", "core", RuleCount("QR025")),
+    Check("returned_orders_have_approved_return", "core", RuleCount("QR031")),
+    Check("noncancelled_orders_have_completed_payment", "core", RuleCount("QR032")),
+    Check("cancelled_orders_have_no_completed_payment", "core", RuleCount("QR033")),
+    Check("negative_inventory_stock", "core", RuleCount("QR034")),
+    Check("shipment_delivery_temporal", "core", RuleCount("QR035")),
+    Check("return_date_temporal", "core", RuleCount("QR036")),
+    Check("dq_rule_errors", "core", RowsWhere("quality_results", "status = 'ERROR'")),
     Check("bronze_silver_order_reconciliation", "core", _unmatched("orders", "fact_orders", "order_id")),
     Check("silver_gold_customer_reconciliation", "core", _unmatched("dim_customers", "customer_360", "customer_id")),
-    Check("null_churn_predictions", "core", _where("churn_predictions", "churn_probability IS NULL")),
-    Check("forecast_negative_units", "core", _where("demand_forecast", "predicted_units < 0")),
-    Check("ml_customer_coverage", "ml", _where("churn_predictions", "true"), "dim_customers"),
-    Check("agent_routing_eval", "genai", _where("evaluation_results", "NOT tool_correct")),
-    Check("realtime_rows", "streaming", _where("live_sales_minute", "true"), ">0", "SKIP"),
-    Check("available_now_realtime_rows", "streaming", _where("realtime_order_events", "true"), ">0"),
-    Check("available_now_successful_microbatches", "streaming", _where("streaming_metrics", "status = 'SUCCEEDED'"), ">0"),
+    Check("null_churn_predictions", "core", RowsWhere("churn_predictions", "churn_probability IS NULL")),
+    Check("forecast_negative_units", "core", RowsWhere("demand_forecast", "predicted_units < 0")),
+    Check("ml_customer_coverage", "ml", RowsWhere("churn_predictions", "true"), "dim_customers"),
+    Check("agent_routing_eval", "genai", RowsWhere("evaluation_results", "NOT tool_correct")),
+    Check("realtime_rows", "streaming", RowsWhere("live_sales_minute", "true"), ">0", "SKIP"),
+    Check("available_now_realtime_rows", "streaming", RowsWhere("realtime_order_events", "true"), ">0"),
+    Check("available_now_successful_microbatches", "streaming", RowsWhere("streaming_metrics", "status = 'SUCCEEDED'"), ">0"),
 )
 
 SCHEMA = (
@@ -92,17 +93,41 @@ SCHEMA = (
 )
 
 
+def _expected(t: Tables, c: Check) -> Column:
+    return F.lit(c.expected) if c.expected in ("0", ">0") else _rows(t[c.expected]).scalar().cast("string")
+
+
+def _row_of(t: Tables, c: Check, actual: Column) -> Column:
+    return F.struct(
+        F.lit(c.name).alias("check_name"), F.lit(c.category).alias("category"), actual.cast("bigint").alias("actual"),
+        _expected(t, c).alias("expected"),
+    )
+
+
 def check_rows(spark: SparkSession, t: Tables, as_of: dt.date, checks: Sequence[Check] = CHECKS) -> DataFrame:
-    """(check_name, category, actual, expected) of the given checks as one lazy frame."""
+    """(check_name, category, actual, expected) of the given checks as one lazy frame.
+
+    All rule checks are one fused plan of `quality.violation_counts`, so each order ledger and each table is read
+    once for all of them; conditions on one table are counted in one scan.
+    """
+    rules = [c for c in checks if isinstance(c.actual, RuleCount)]
+    tables: dict[str, list[Check]] = {}
+    for c in checks:
+        if isinstance(c.actual, RowsWhere):
+            tables.setdefault(c.actual.table, []).append(c)
     parts = []
+    if rules:
+        asked = {c.actual.rule_id: RULE[c.actual.rule_id] for c in rules}
+        counts = violation_counts(spark, t, list(asked.values()), as_of)
+        rows = [F.when(F.col("rule_id") == c.actual.rule_id, _row_of(t, c, F.col("failed_records"))) for c in rules]
+        parts.append(counts.select(F.explode(F.array_compact(F.array(*rows))).alias("row")).select("row.*"))
+    for table, members in tables.items():
+        counted = t[table].agg(*[F.count_if(F.expr(c.actual.condition)).alias(f"n{i}") for i, c in enumerate(members)])
+        rows = [_row_of(t, c, F.col(f"n{i}")) for i, c in enumerate(members)]
+        parts.append(counted.select(F.explode(F.array(*rows)).alias("row")).select("row.*"))
     for c in checks:
-        row = c.actual(spark, t, as_of)
-        if c.expected in ("0", ">0"):
-            row = row.withColumn("expected", F.lit(c.expected))
-        else:
-            row = row.withColumn("expected", _rows(t[c.expected]).scalar().cast("string"))
-        parts.append(row.select(F.lit(c.name).alias("check_name"), F.lit(c.category).alias("category"),
-                                F.col("actual").cast("bigint").alias("actual"), "expected"))
+        if callable(c.actual):
+            parts.append(c.actual(spark, t, as_of).select(_row_of(t, c, F.col("actual")).alias("row")).select("row.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -117,16 +142,13 @@ def verdict(skip_when_empty: Sequence[str] = ("realtime_rows",)):
 def run_checks(
     spark: SparkSession, t: Tables, as_of: dt.date, run_id: str, at: dt.datetime, checks: Sequence[Check] = CHECKS
 ) -> DataFrame:
-    """Evaluate all checks together; one by one only if something in the joint plan breaks."""
-    done, broken = [], []
-    try:
-        done = check_rows(spark, t, as_of, checks).withColumn("status", verdict()).collect()
-    except Exception:  # a task that fails while reading raises no PySparkException
-        for c in checks:
-            try:
-                done += check_rows(spark, t, as_of, [c]).withColumn("status", verdict()).collect()
-            except Exception as e:
-                broken.append((c.name, c.category, c.if_missing, "ERROR", c.expected, str(e)[:1000], run_id, at))
+    """Evaluate all checks together; where something in the joint plan breaks, in halves down to the broken checks."""
+    # checks that share a scan stay next to each other, so a damaged table costs its own group only
+    grouped = sorted(checks, key=lambda c: (type(c.actual).__name__, c.actual.table if isinstance(c.actual, RowsWhere) else ""))
+    done, errors = in_halves(
+        grouped, lambda some: check_rows(spark, t, as_of, some).withColumn("status", verdict()).collect()
+    )
+    broken = [(c.name, c.category, c.if_missing, "ERROR", c.expected, str(e)[:1000], run_id, at) for c, e in errors]
     rows = [(r.check_name, r.category, r.status, str(r.actual), r.expected, "", run_id, at) for r in done]
     return spark.createDataFrame(rows + broken, SCHEMA)
 
@@ -137,7 +159,7 @@ def object_checks(spark: SparkSession, t: Tables, run_id: str, at: dt.datetime)
     def present(name: str) -> bool:
         try:
             return name in t and t[name] is not None
-        except PySparkException:
+        except Exception:  # a failed read arrives in many forms
             return False
 
     rows = []

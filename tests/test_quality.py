@@ -145,3 +145,47 @@ def test_optional_tables_skip(spark, t):
     objects = {r.check_name: r.status for r in v.object_checks(spark, t, "r", AT).collect()}
     assert objects["object:customers"] == "PASS" and objects["object:product_kpis"] == "FAIL"
     assert objects["managed:orders_bronze_stream"] == "SKIP"
+
+
+def test_halving_finds_every_broken_item_in_few_runs():
+    runs = []
+
+    def run(items):
+        runs.append(len(items))
+        if {5, 61} & set(items):
+            raise RuntimeError("broken")
+        return [i * 10 for i in items]
+
+    rows, errors = q.in_halves(list(range(64)), run)
+    assert rows == [i * 10 for i in range(64) if i not in (5, 61)]
+    assert [(i, str(e)) for i, e in errors] == [(5, "broken"), (61, "broken")]
+    assert len(runs) <= 25
+    assert q.in_halves([], run) == ([], [])
+
+
+def test_a_file_damaged_after_it_was_opened_costs_its_own_rules(spark, t, tmp_path):
+    path = tmp_path / "customers"
+    t["customers"].coalesce(1).write.parquet(str(path))
+    lost = {**t, "customers": spark.read.parquet(str(path)), "orders": spark.createDataFrame([(1,), (None,)], "order_id int")}
+    for part in path.glob("part-*"):
+        part.write_bytes(b"no parquet")
+        (path / f".{part.name}.crc").unlink()
+    kept = Rule("B1", "orders", "order_id", "completeness", "warning", 0.0, "where: order_id IS NULL", "stays")
+    results, errors = q.run_rules(spark, lost, AS_OF, "r", AT, [MIXED[0], MIXED[1], kept])
+    got = {r.rule_id: (r.status, r.failed_records, r.total_records) for r in results.collect()}
+    assert got == {"A1": ("ERROR", 0, 0), "A2": ("ERROR", 0, 0), "B1": ("FAIL", 1, 2)}
+    assert set(errors) == {"A1", "A2"}
+
+
+def test_rule_checks_share_the_scans_of_the_rules(spark, small):
+    def scans(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+    t, as_of = retail_tables(spark, small), latest_order_date(spark, small)
+    checks = [c for c in v.CHECKS if isinstance(c.actual, v.RuleCount)]
+    asked = [v.RULE[c.actual.rule_id] for c in checks]
+    joint = v.check_rows(spark, t, as_of, checks)
+    assert 0 < scans(joint) == scans(q.violation_counts(spark, t, asked, as_of))
+    singly = {c.name: v.check_rows(spark, t, as_of, [c]).first().actual for c in checks[:3]}
+    together = {r.check_name: r.actual for r in joint.collect()}
+    assert len(together) == len(checks) and singly.items() <= together.items()
