@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
-from pyspark import inheritable_thread_target
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from martloom.functions.labels import label_lookup
-from martloom.session import stored_model
+from martloom.operators.clustering import fit_all, nearest, points
 
 FEATURES = ("total_revenue", "total_orders", "days_since_last_order", "loyalty_points")
-K_RANGE, SEED, STARTS, PARALLEL = range(2, 7), 42, 20, 8
-ROWS_PER_PART = 20_000
+K_RANGE, SEED, STARTS = range(2, 7), 42, 20
+ROWS_PER_PART = 200_000
 # Segment names from the lowest to the highest value.
 NAMES = {
     2: ("Low Value", "High Value"),
@@ -30,7 +29,8 @@ NAMES = {
 
 class Segmentation(NamedTuple):
     k: int
-    model: PipelineModel
+    scaling: PipelineModel
+    centres: np.ndarray
     labels: dict[int, str]
     trials: list[tuple[int, float, float]]  # k, silhouette, within-cluster cost
 
@@ -52,49 +52,38 @@ def labels_by_value(profile: DataFrame, k: int) -> dict[int, str]:
     return {r["cluster"]: NAMES[k][i] for i, r in enumerate(ordered)}
 
 
-def best_start(scaled: DataFrame, k: int, starts: int) -> tuple[KMeansModel, float]:
-    """The model of least cost among several starts, each with a seed of its own; ties go to the earlier one.
-
-    An iteration is a short job, so some starts run side by side.
-    """
-
-    def fit(seed: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed, maxIter=300, predictionCol="cluster", featuresCol="features").fit(scaled)
-
-    with ThreadPool(PARALLEL) as pool:
-        fits = pool.map(inheritable_thread_target(fit), range(SEED, SEED + starts))
-    best = min(fits, key=lambda model: model.summary.trainingCost)
-    return best, float(best.summary.trainingCost)
+def place(scaled: DataFrame, centres: np.ndarray) -> DataFrame:
+    return scaled.withColumn("cluster", nearest(vector_to_array("features"), centres))
 
 
 def fit_segments(customers: DataFrame, ks=K_RANGE, starts: int = STARTS) -> Segmentation:
     """Try every k on the scaled features and keep the one with the best silhouette.
 
-    Spark's silhouette needs only per-cluster sums, so all rows take part.
+    All k and starts are fitted together, one job a round; of the starts of a k the one of least cost counts, ties
+    go to the earlier one. Spark's silhouette needs only per-cluster sums, so all rows take part.
     """
     scaling = Pipeline(stages=_scaler()).fit(customers)
-    # an iteration is one job over all parts: few rows in many parts would only cost scheduling
+    # a round is one job over all parts: few rows in many parts would only cost scheduling
     parts = max(1, -(-customers.count() // ROWS_PER_PART))
     scaled = scaling.transform(customers).select("customer_id", *FEATURES, "features").repartition(parts).cache()
-    trials, fitted = [], {}
     judge = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
     try:
-        for k in ks:
-            fit, cost = best_start(scaled, k, starts)
-            filled = sum(size > 0 for size in fit.summary.clusterSizes)
-            model = stored_model(customers.sparkSession, fit, "segments")
-            score = judge.evaluate(model.transform(scaled)) if filled > 1 else 0.0
-            trials.append((k, float(score), cost))
-            fitted[k] = model
+        fits = fit_all(points(scaled, "customer_id", vector_to_array("features")), list(ks), starts, SEED)
+        best = {k: min((f for f in fits if f.k == k), key=lambda f: f.cost) for k in ks}
+        trials = []
+        for k, fit in best.items():
+            filled = (fit.sizes > 0).sum()
+            score = judge.evaluate(place(scaled, fit.centres)) if filled > 1 else 0.0
+            trials.append((k, float(score), fit.cost))
         k = max(trials, key=lambda x: x[1])[0]
-        labels = labels_by_value(cluster_profile(fitted[k].transform(scaled)), k)
+        labels = labels_by_value(cluster_profile(place(scaled, best[k].centres)), k)
     finally:
         scaled.unpersist()
-    return Segmentation(k, PipelineModel([*scaling.stages, fitted[k]]), labels, trials)
+    return Segmentation(k, scaling, best[k].centres, labels, trials)
 
 
 def assign(segmentation: Segmentation, customers: DataFrame) -> DataFrame:
-    placed = segmentation.model.transform(customers)
+    placed = place(segmentation.scaling.transform(customers), segmentation.centres)
     label = label_lookup(F.col("cluster"), segmentation.labels)
     return placed.select("customer_id", F.col("cluster").alias("segment_id"), label.alias("segment_label"))
 
