@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.functions.labels import position
-from martloom.operators.windows import numbered, running_total
+from martloom.operators.selection import SORTABLE, at_ranks
+from martloom.operators.windows import numbered
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -59,39 +60,53 @@ def first_by_digest(
     return taken.where(F.struct(*order) <= limit)
 
 
-def ordered_split(df: DataFrame, key: str, fraction: float) -> tuple[DataFrame, DataFrame]:
-    """The first `fraction` of the rows by key, and the rest."""
-    placed = numbered(df, [F.col(key).asc()], "_position")
-    cut = int(placed.count() * fraction)
-    first = placed.where(F.col("_position") <= cut).drop("_position")
-    return first, placed.where(F.col("_position") > cut).drop("_position")
+def ordered_split(
+    df: DataFrame, key: str, fraction: float, *, sortable: int = SORTABLE
+) -> tuple[DataFrame, DataFrame]:
+    """The first `fraction` of the rows by key (NULL first), and the rest, as two filters on the key.
 
-
-def exact_percentiles(df: DataFrame, column: str, points: Sequence[float]) -> DataFrame:
+    Rows are numbered only where several share the key at the cut; those are taken in the order of all columns that
+    have an order. `df` is read several times, so it should be a written table.
+    """
+    sizes = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("filled")).first()
+    cut, nulls, k = int(sizes.n * fraction), sizes.n - sizes.filled, F.col(key)
+    if cut <= 0:
+        return df.limit(0), df
+    if cut >= sizes.n:
+        return df, df.limit(0)
+    if cut <= nulls:
+        before, at, after, left, equal = F.lit(False), k.isNull(), k.isNotNull(), cut, nulls
+    else:
+        placed = at_ranks(df, key, [cut - nulls], sizes.filled, sortable=sortable)[cut - nulls]
+        last = F.lit(placed.value).cast(df.schema[key].dataType)
+        before, at, after = k.isNull() | (k < last), k == last, k > last
+        left, equal = cut - nulls - placed.before, placed.equal
+    if left == equal:
+        return df.where(before | at), df.where(after)
+    order = [key, *[c for c, t in df.dtypes if c != key and "map<" not in t and "variant" not in t]]
+    tied = numbered(df.where(at), [F.col(c).asc() for c in order], "_position")
+    first, rest = (tied.where(side).drop("_position") for side in (F.col("_position") <= left, F.col("_position") > left))
+    return df.where(before).unionByName(first), df.where(after).unionByName(rest)
+
+
+def exact_percentiles(
+    df: DataFrame, column: str, points: Sequence[float], *, sortable: int = SORTABLE
+) -> DataFrame:
     """One row of continuous percentiles `p1, p2, ...` of a column, interpolated between neighbours.
 
-    Values are first counted, then placed in the sort order, so the cost is that
-    of a distributed sort and no task holds more than its range.
+    The values at the ranks around each point are found by counting (`selection.at_ranks`): no sort, no shuffle of
+    rows, no table written. NULLs are left out; without any value all percentiles are NULL.
     """
-    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    placed = running_total(counted, [], [F.col("v").asc()], "n", "upto")
-    total = placed.agg(F.max("upto")).first()[0]
-    if total is None:
-        schema = ", ".join(f"p{i} double" for i in range(1, len(points) + 1))
-        return df.sparkSession.createDataFrame([tuple(None for _ in points)], schema)
-
-    def value_at(rank: int) -> Column:
-        # the value whose count interval covers the rank
-        covers = (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
-        return F.max(F.when(covers, F.col("v").cast("double")))
-
-    columns = []
-    for i, p in enumerate(points, 1):
-        target = p * (total - 1)
-        low = int(target)
-        lower, upper = value_at(low + 1), value_at(min(low + 2, total))
-        columns.append((lower + (upper - lower) * F.lit(target - low)).alias(f"p{i}"))
-    return placed.agg(*columns)
+    values = df.select(F.col(column).cast("double").alias(column))
+    total = values.agg(F.count(column)).first()[0]
+    ranks = [(int(p * (total - 1)) + 1, min(int(p * (total - 1)) + 2, total)) for p in points]
+    found = at_ranks(values, column, sorted({r for pair in ranks for r in pair}), total, sortable=sortable) if total else {}
+    row = []
+    for p, (low, high) in zip(points, ranks):
+        share = p * (total - 1) - (low - 1)
+        row.append(found[low].value + (found[high].value - found[low].value) * share if total else None)
+    schema = ", ".join(f"p{i} double" for i in range(1, len(points) + 1))
+    return df.sparkSession.createDataFrame([tuple(row)], schema)
 
 
 def with_one_row(df: DataFrame, row: DataFrame) -> DataFrame:
