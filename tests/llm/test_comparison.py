@@ -17,6 +17,16 @@ TEXTS = [
     "\U0001f600 é " * 30 + "x@y.zz",
     "12345 " * 2000 + "x@y.zz",
 ]
+# account numbers before other words and after each other, inside failed ones, with and without context, of unknown countries
+NUMBERS = ["BE71 0961 2345 6769", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00"]
+WORDS = ["BIC", "EUR 20", "2024", "BIC GEBABEBB", "XX", "EUROPE 2024 1234 5678 9012", "today", "\nBIC", "é"]
+TEXTS += [f"{a}{n} {w}" for n in NUMBERS for w in WORDS for a in ("", "Konto ")]
+TEXTS += [n.replace(" ", "") + f" {w}" for n in NUMBERS for w in WORDS]
+TEXTS += [
+    " ".join(NUMBERS), ", bank ".join(NUMBERS), "iban BE12 AT61 1904 3002 3457 3201", "BE71 0961 2345 6768 BIC",
+    "xBE71 0961 2345 6769 BIC", "account AB12 CD34 EF56 " + NUMBERS[0], "AB12CD34 BE71096123456769BE71096123456769",
+    "ZZ33 1234 5678 9012 345 A ZZ59 1234 5678 9012 3456 77, ZZ591234567890123456", "\U0001f600 iban\t" + NUMBERS[3] + ";" + NUMBERS[3],
+]
 
 
 @pytest.fixture(scope="module")
