@@ -111,7 +111,7 @@ RETAIL_VIEWS: dict[str, str] = {
                l_partkey AS product_id, o_custkey AS customer_id, 1 + (l_orderkey + l_partkey) % 5 AS rating,
                'Review of ' || CAST(l_partkey AS STRING) AS title, CAST(o_orderdate AS DATE) AS review_date,
                l_orderkey % 5 <> 0 AS verified_purchase, l_partkey % 101 AS helpful_votes
-        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_orderkey % 37 = 0""",
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "support_tickets": """
         SELECT event_id AS ticket_id, user_id AS customer_id,
                CASE event_id % 3 WHEN 0 THEN 'billing' WHEN 1 THEN 'shipping' ELSE 'product' END AS category,
