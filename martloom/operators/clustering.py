@@ -2,7 +2,8 @@
 
 A fit is a handful of centres, so one pass over the rows can serve all fits: every
 round is one job, whatever the number of fits. A task keeps one sum per centre and
-sends those; rows are never shuffled, and the driver sees centres only.
+sends those; rows are never shuffled, and the driver sees centres only. The rows are
+packed once, some thousand to a row of bytes, so that a round does not convert them again.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 HASH, POINT = "_hash", "_point"
 SEED_ROUNDS = 2
 LOCAL_ROUNDS = 30
+#: Rows whose distances to all centres are held at a time: what fits a processor's cache.
+BLOCK = 1024
+#: Up to so many tasks send their sums to the driver at once; those of more tasks are added up in a shuffle before.
+MERGED = 64
 
 
 class Fit(NamedTuple):
@@ -32,15 +37,59 @@ def points(df: DataFrame, key: str, vector: Column) -> DataFrame:
     return df.select(F.xxhash64(key).alias(HASH), vector.alias(POINT))
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """`points` with the rows of an Arrow batch as one row of bytes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, x in _rows(batches):
+            yield pa.RecordBatch.from_pydict({
+                HASH: pa.array([hashes.tobytes()], pa.binary()), POINT: pa.array([x.tobytes()], pa.binary()),
+            })
+
+    return rows.mapInArrow(pack, f"{HASH} binary, {POINT} binary")
+
+
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for batch in batches:
-        if batch.num_rows:
+        if pa.types.is_binary(batch.schema.field(HASH).type) or pa.types.is_large_binary(batch.schema.field(HASH).type):
+            for hashes, flat in zip(batch.column(HASH), batch.column(POINT)):
+                keys = np.frombuffer(hashes.as_buffer(), np.int64)
+                yield keys, np.frombuffer(flat.as_buffer(), float).reshape(len(keys), -1)
+        elif batch.num_rows:
             flat = batch.column(POINT).flatten().to_numpy(zero_copy_only=False)
             yield batch.column(HASH).to_numpy(zero_copy_only=False), flat.reshape(batch.num_rows, -1)
 
 
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+    away = np.zeros((len(x), len(centres)))
+    for column, values in zip(x.T, centres.T):
+        away += (column[:, None] - values[None, :]) ** 2
+    return away
+
+
+def _add_nearest(x: np.ndarray, centres: np.ndarray, n: np.ndarray, sums: np.ndarray, cost: np.ndarray) -> None:
+    """Add the rows to the nearest centre of every set, the smaller of equals.
+
+    `centres` and `sums` are sets x centres x columns, `n` is sets x centres and `cost` is per set. The rows come
+    last in all arrays in between, so that every step runs along them.
+    """
+    sets, k, width = centres.shape
+    away, step = np.empty((sets, k, len(x))), np.empty((sets, k, len(x)))
+    for j in range(width):
+        np.subtract(x[:, j], centres[:, :, j, None], out=step if j else away)
+        np.multiply(step, step, out=step) if j else np.multiply(away, away, out=away)
+        if j:
+            np.add(away, step, out=away)
+    least = away.min(axis=1)
+    cost += least.sum(axis=1)
+    free = np.ones((sets, len(x)), bool)
+    values = np.column_stack([np.ones(len(x)), x])
+    for j in range(k):
+        mine = free & (away[:, j] == least)
+        free ^= mine
+        added = mine.astype(float) @ values
+        n[:, j] += added[:, 0].astype(np.int64)
+        sums[:, j] += added[:, 1:]
 
 
 def _uniform(hashes: np.ndarray, *numbers: int) -> np.ndarray:
@@ -55,23 +104,32 @@ def _uniform(hashes: np.ndarray, *numbers: int) -> np.ndarray:
     return ((state >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
 
 
-def _totals(rows: DataFrame, sets: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """Per set of centres: rows nearest to each centre, their sums, and the cost of the set. One job."""
+def _totals(
+    rows: DataFrame, sets: Sequence[np.ndarray], merge: bool = True
+) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Per set of centres: rows nearest to each centre, their sums, and the cost of the set. One job.
+
+    With `merge` a shuffle adds up what the tasks have found, else the driver does.
+    """
     stacked = np.vstack(sets)
     ends = np.cumsum([len(c) for c in sets])
     slices = [slice(end - len(c), end) for c, end in zip(sets, ends)]
+    alike: dict[int, list[slice]] = {}  # sets of equal size are taken together
+    for part in slices:
+        alike.setdefault(part.stop - part.start, []).append(part)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sums, cost = np.zeros(len(stacked), np.int64), np.zeros_like(stacked), np.zeros(len(stacked))
+        together = {k: np.stack([stacked[part] for part in parts]) for k, parts in alike.items()}
+        found = {k: (np.zeros(c.shape[:2], np.int64), np.zeros_like(c), np.zeros(len(c))) for k, c in together.items()}
         for _, x in _rows(batches):
-            for part in slices:
-                centres = stacked[part]
-                away = _distances(x, centres)
-                near = away.argmin(axis=1)
-                n[part] += np.bincount(near, minlength=len(centres))
-                cost[part] += np.bincount(near, weights=away.min(axis=1), minlength=len(centres))
-                for j in range(x.shape[1]):
-                    sums[part, j] += np.bincount(near, weights=x[:, j], minlength=len(centres))
+            for begin in range(0, len(x), BLOCK):
+                for k, centres in together.items():
+                    _add_nearest(x[begin : begin + BLOCK], centres, *found[k])
+        for k, parts in alike.items():
+            for i, part in enumerate(parts):
+                n[part], sums[part] = found[k][0][i], found[k][1][i]
+                cost[part.start + n[part].argmax()] = found[k][2][i]  # a centre that has rows speaks for its set
         used = np.flatnonzero(n)
         for begin in range(0, len(used), 10_000):
             at = used[begin : begin + 10_000]
@@ -82,10 +140,17 @@ def _totals(rows: DataFrame, sets: Sequence[np.ndarray]) -> list[tuple[np.ndarra
 
     values = ["n", "cost", *[f"s{j}" for j in range(stacked.shape[1])]]
     schema = "centre int, n bigint, cost double" + "".join(f", {c} double" for c in values[2:])
-    summed = rows.mapInArrow(partial, schema).groupBy("centre").agg(*[F.sum(c).alias(c) for c in values])
+    summed = rows.mapInArrow(partial, schema)
+    if merge:
+        summed = summed.groupBy("centre").agg(*[F.sum(c).alias(c) for c in values])
+    # at most one row per centre and task; with many tasks one per centre
+    table = summed.toArrow()
+    at = table["centre"].to_numpy()
     n, cost, sums = np.zeros(len(stacked), np.int64), np.zeros(len(stacked)), np.zeros_like(stacked)
-    for r in summed.collect():  # at most one row per centre
-        n[r[0]], cost[r[0]], sums[r[0]] = r[1], r[2], r[3:]
+    np.add.at(n, at, table["n"].to_numpy())
+    np.add.at(cost, at, table["cost"].to_numpy())
+    for j in range(stacked.shape[1]):
+        np.add.at(sums[:, j], at, table[f"s{j}"].to_numpy())
     return [(n[part], sums[part], float(cost[part].sum())) for part in slices]
 
 
@@ -143,7 +208,9 @@ def _spread(candidates: np.ndarray, weights: np.ndarray, k: int, rng: np.random.
     return centres
 
 
-def _first_centres(rows: DataFrame, ks: Sequence[int], starts: int, seed: int) -> dict[tuple[int, int], np.ndarray]:
+def _first_centres(
+    rows: DataFrame, ks: Sequence[int], starts: int, seed: int, merge: bool
+) -> dict[tuple[int, int], np.ndarray]:
     """Oversampled candidates per start, weighted by the rows around them; every k takes its centres from those."""
     sets = _drawn(rows, [None] * starts, 1, seed, 0)
     if not all(len(c) for c in sets):
@@ -151,7 +218,7 @@ def _first_centres(rows: DataFrame, ks: Sequence[int], starts: int, seed: int) -
     for number in range(1, SEED_ROUNDS + 1):
         more = _drawn(rows, sets, 2 * max(ks), seed, number)
         sets = [np.vstack([c, m]) if len(m) else c for c, m in zip(sets, more)]
-    weights = [n for n, _, _ in _totals(rows, sets)]
+    weights = [n for n, _, _ in _totals(rows, sets, merge)]
     return {
         (k, i): _spread(sets[i], weights[i].astype(float), k, np.random.default_rng([seed, i, k]))
         for k in ks
@@ -165,22 +232,31 @@ def fit_all(
     """Fit every k from every start; fits come ordered by k and start.
 
     A fit rests once no centre moves further than `tolerance`; rounds go on with the others. Jobs: one per round of the
-    slowest fit and a fixed number around them. A centre no row is nearest to stays where it is. `rows` is read once a
-    round: give a cached or written table of `points`.
+    slowest fit and a fixed number around them. A centre no row is nearest to stays where it is. `rows`, a table of
+    `points`, is read once, packed and cached; a round uses as many tasks as it has partitions.
     """
-    centres = _first_centres(rows, ks, starts, seed)
+    kept = packed(rows).cache()
+    try:
+        return _fit_packed(kept, ks, starts, seed, rounds, tolerance)
+    finally:
+        kept.unpersist()
+
+
+def _fit_packed(rows: DataFrame, ks: Sequence[int], starts: int, seed: int, rounds: int, tolerance: float) -> list[Fit]:
+    merge = rows.rdd.getNumPartitions() > MERGED
+    centres = _first_centres(rows, ks, starts, seed, merge)
     moving = list(centres)
     for _ in range(rounds):
         if not moving:
             break
         still = []
-        for name, (n, sums, _) in zip(moving, _totals(rows, [centres[name] for name in moving])):
+        for name, (n, sums, _) in zip(moving, _totals(rows, [centres[name] for name in moving], merge)):
             moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres[name])
             if ((moved - centres[name]) ** 2).sum(axis=1).max() > tolerance**2:
                 still.append(name)
             centres[name] = moved
         moving = still
-    final = _totals(rows, list(centres.values()))
+    final = _totals(rows, list(centres.values()), merge)
     return [Fit(k, i, c, n, cost) for ((k, i), c), (n, _, cost) in zip(centres.items(), final)]
 
 

@@ -16,7 +16,7 @@ from martloom.operators.clustering import fit_all, nearest, points
 
 FEATURES = ("total_revenue", "total_orders", "days_since_last_order", "loyalty_points")
 K_RANGE, SEED, STARTS = range(2, 7), 42, 20
-ROWS_PER_PART = 200_000
+ROWS_PER_PART, FEWEST_ROWS = 200_000, 10_000
 # Segment names from the lowest to the highest value.
 NAMES = {
     2: ("Low Value", "High Value"),
@@ -52,6 +52,12 @@ def labels_by_value(profile: DataFrame, k: int) -> dict[int, str]:
     return {r["cluster"]: NAMES[k][i] for i, r in enumerate(ordered)}
 
 
+def _parts(rows: int, cores: int) -> int:
+    """A round is one job over all parts: all cores at the same time, but few rows in many parts only cost scheduling."""
+    waves = max(1, -(-rows // (ROWS_PER_PART * cores)))
+    return max(1, min(waves * cores, -(-rows // FEWEST_ROWS)))
+
+
 def place(scaled: DataFrame, centres: np.ndarray) -> DataFrame:
     return scaled.withColumn("cluster", nearest(vector_to_array("features"), centres))
 
@@ -63,8 +69,7 @@ def fit_segments(customers: DataFrame, ks=K_RANGE, starts: int = STARTS) -> Segm
     go to the earlier one. Spark's silhouette needs only per-cluster sums, so all rows take part.
     """
     scaling = Pipeline(stages=_scaler()).fit(customers)
-    # a round is one job over all parts: few rows in many parts would only cost scheduling
-    parts = max(1, -(-customers.count() // ROWS_PER_PART))
+    parts = _parts(customers.count(), customers.sparkSession.sparkContext.defaultParallelism)
     scaled = scaling.transform(customers).select("customer_id", *FEATURES, "features").repartition(parts).cache()
     judge = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
     try:

@@ -75,3 +75,28 @@ def test_nearest_takes_the_smaller_of_equals(spark):
     df = spark.createDataFrame([([0.0, 1.0],), ([4.0, 0.0],), ([2.0, 0.0],)], "x array<double>")
     got = df.select("x", cl.nearest(F.col("x"), np.array([[0.0, 0.0], [4.0, 0.0]])).alias("n")).collect()
     assert [r.n for r in got] == [0, 1, 0]
+
+
+def test_packed_rows_are_the_same_rows(blobs):
+    rows = cl.points(blobs, "id", F.col("x"))
+    sets = [np.zeros((1, 3)), np.array([[0.0, 0, 0], [6, 0, 1], [6, 0, 1]]), np.array([[8.0, 8, 8], [0, 7, 2], [-5, 3, 9]])]
+    x = np.array([r.x for r in blobs.collect()])
+    kept = cl.packed(rows)
+    assert kept.count() <= 3 < rows.count()
+    for merge in (True, False):
+        for c, (n, sums, cost) in zip(sets, cl._totals(kept, sets, merge)):
+            away = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+            near = away.argmin(axis=1)  # the smaller of equals
+            assert list(n) == list(np.bincount(near, minlength=len(c))) and cost == pytest.approx(away.min(axis=1).sum())
+            assert np.allclose(sums, [x[near == j].sum(axis=0) for j in range(len(c))])
+    assert all(np.array_equal(p, q) for p, q in zip(cl._drawn(rows, sets, 5, 1), cl._drawn(kept, sets, 5, 1)))
+
+
+def test_a_round_is_one_job(spark, blobs):
+    context, rows = spark.sparkContext, cl.packed(cl.points(blobs, "id", F.col("x"))).cache()
+    rows.count()
+    context.setJobGroup("round", "round")
+    cl._totals(rows, [np.zeros((2, 3))] * 5, merge=False)
+    jobs = context.statusTracker().getJobIdsForGroup("round")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
