@@ -108,3 +108,21 @@ def test_anomaly_events_with_ties_and_few_flags(spark):
     got = anomalies.anomaly_events(df, dt.date(2024, 1, 1), 10).orderBy("event_id").collect()
     assert len(got) == 10 and {r.entity_id for r in got if r.severity == "critical"} == {0, 1, 2, 3}
     assert next(r for r in got if r.event_id == "ANM1").entity_id == 0
+
+
+def test_a_table_fits_only_the_models_it_needs(spark, customers, monkeypatch):
+    fitted = []
+    for plan, name in ((churn, "compare_models"), (segmentation, "fit_segments"), (isolation, "anomaly_scores")):
+        real = getattr(plan, name)
+        monkeypatch.setattr(plan, name, lambda *a, real=real, name=name, **kw: fitted.append(name) or real(*a, **kw))
+    models = scoring.train_and_score(customers, dt.datetime(2024, 1, 1), trees=5, boosts=2)
+    assert [r.model for r in models.metrics_of("Logistic Regression").collect()] == ["Logistic Regression"]
+    assert models.model_metrics.count() == 3 and sum(r.chosen for r in models.model_metrics.collect()) == 1
+    assert fitted == ["compare_models"] * 2  # the second for the two models that were missing
+    predictions = models.churn_predictions
+    assert predictions.count() == 401 and sorted(fitted[2:]) == ["anomaly_scores", "fit_segments"]
+    assert list(models._asdict()) == list(scoring.TABLES) and len(fitted) == 4
+
+
+def test_segment_rounds_use_all_cores():
+    assert [segmentation._parts(n, 12) for n in (0, 1, 90_000, 900_000, 5_400_000)] == [1, 1, 9, 12, 36]

@@ -23,7 +23,7 @@ _DONE: dict[tuple[str, str], scoring.ModelTables] = {}
 
 
 def models(x) -> scoring.ModelTables:
-    """All models of a folder, fitted once per session."""
+    """The models of a folder, each fitted once per session, when it is first asked for."""
     key = (x.spark.sparkContext.applicationId, x.folder)
     if key not in _DONE:
         _DONE[key] = scoring.train_and_score(churn.churn_features(x.t), AT)
@@ -55,7 +55,7 @@ R.add(
 for number, name in ((4, "Logistic Regression"), (5, "Random Forest"), (6, "Gradient Boosting")):
     R.add(
         f"m{number}_{name.lower().replace(' ', '_')}",
-        lambda x, name=name: models(x).model_metrics.where(F.col("model") == name).select("model", "roc_auc", "pr_auc", "f1"),
+        lambda x, name=name: models(x).metrics_of(name).select("model", "roc_auc", "pr_auc", "f1"),
     )
 R.add("m7_model_metrics", lambda x: models(x).model_metrics.drop("chosen"))
 R.add("m8_chosen_model", lambda x: models(x).model_metrics.where("chosen").select("model", "f1"))
