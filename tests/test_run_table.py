@@ -58,3 +58,10 @@ def test_two_writers_both_count(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(RunTable, "_swap", late)
     table.commit(rows(spark, "mine"))
     assert both(table) == (["mine"], ["mine", "theirs"])
+
+
+def test_rows_of_a_repeated_run_are_not_computed(spark, tmp_path):
+    table, built = RunTable(spark, str(tmp_path / "t")), []
+    for _ in range(2):
+        table.commit(lambda: built.append(1) or rows(spark, "a"), "run-1")
+    assert both(table) == (["a"], ["a"]) and built == [1]
