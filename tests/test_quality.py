@@ -189,3 +189,17 @@ def test_rule_checks_share_the_scans_of_the_rules(spark, small):
     singly = {c.name: v.check_rows(spark, t, as_of, [c]).first().actual for c in checks[:3]}
     together = {r.check_name: r.actual for r in joint.collect()}
     assert len(together) == len(checks) and singly.items() <= together.items()
+
+
+def test_references_to_orders_come_from_the_ledger(spark, t, monkeypatch):
+    """The same counts with and without a ledger beside them, and no second grouping by order id with one."""
+    alone, ledger = rules("QR011", "QR015", "QR018"), rules("QR029", "QR031")
+    filled = {**t, "orders": t["orders"].where("order_id IS NOT NULL")}
+    empty = {**t, "orders": t["orders"].limit(0)}
+    # one NULL among the references leaves NOT IN unknown; without references every row violates it, a NULL too
+    expected = {"null": (t, [0, 0, 0]), "filled": (filled, [1, 0, 0]), "empty": (empty, [4, 3, 1])}
+    wanted = {name: counts(spark, tables, alone) for name, (tables, _) in expected.items()}
+    monkeypatch.setattr(q, "_reference_rules", None)  # not called
+    for name, (tables, numbers) in expected.items():
+        got = counts(spark, tables, alone + ledger)
+        assert [got[r] for r in ("QR011", "QR015", "QR018")] == numbers == [wanted[name][r.rule_id] for r in alone]
