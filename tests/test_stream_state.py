@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.operators import windows
+from martloom.session import no_rows
 from martloom.streaming import key_index, live_sales as ls, managed
 from martloom.streaming.events import land
 from martloom.streaming.key_index import KeyIndex
@@ -177,3 +179,46 @@ def test_managed_kpis_of_three_runs_equal_one_pass(spark, tmp_path):
     managed.fold_minutes(spark, root, again, 2)
     now = ls.read_or_empty(spark, f"{root}/live_sales_minute", ls.GOLD_SCHEMA).select(want.columns)
     assert sorted(map(str, now.collect())) == sorted(map(str, want.collect()))
+
+
+def test_whole_rows_of_a_batch_are_sorted_only_where_an_id_comes_twice(spark, tmp_path, monkeypatch):
+    live = ls.LiveSales(spark, str(tmp_path))
+    compared = []
+    whole = ls.latest_by_key
+    monkeypatch.setattr(ls, "latest_by_key", lambda df, *args: compared.append(sorted(str(r.event_id) for r in df.collect())) or whole(df, *args))
+    rows = [event(n, f"o{n}", n) for n in range(1, 6)]
+    live.process(spark.createDataFrame(rows, "event_id string, " + ls.SILVER_SCHEMA.split(", net_revenue")[0] + ", status string, source string"), 0)
+    assert compared == [] and live.bronze().count() == 5
+    schema = live.bronze().drop("_ingestion_ts", "_microbatch_id").schema
+    twice = [event(6, "o6", 1), event(7, "o7", 1, 5.0), event(7, "o7", 2, 6.0), event(0, "o8", 1, event_id=None), event(0, "o8", 3, event_id=None)]
+    live.process(spark.createDataFrame(twice, schema), 1)
+    assert compared == [["None", "None", "e7", "e7"]]
+    got = sorted((str(r.event_id), r.order_total, r.event_time) for r in live.bronze().where("_microbatch_id = 1").collect())
+    want = [twice[i] for i in (4, 0, 2)]
+    assert got == [(str(r[0]), r[6], r[4]) for r in want]
+
+
+def test_latest_of_many_equals_latest_by_key(spark):
+    draw = random.Random(5)
+    pick = lambda *values: draw.choice((None, *values))
+    rows = [(pick("a", "b", "", "c"), pick(0.0, -0.0, 1.5, float("nan")), pick("x", "y"), pick(1, 2)) for _ in range(300)]
+    rows += [("alone", None, None, None), ("alone", None, None, 1)]
+    df = spark.createDataFrame(rows, "k string, t double, e string, v int")
+    got, want = (sorted(map(str, f(df, "k", ["t", "e"]).collect())) for f in (windows.latest_of_many, windows.latest_by_key))
+    assert got == want and len(got) == 6
+    # what is read first is grouped by hash: the sort comes after the rows have been left out
+    plan = windows.latest_of_many(df, "k", ["t", "e"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortAggregate") < plan.index("LeftSemi") < plan.index("HashAggregate")
+
+
+def test_an_index_without_entries_costs_no_shuffle(spark, tmp_path):
+    index = KeyIndex(spark, str(tmp_path / "i"), "k")
+    rows = keys(spark, "a", "b", None)
+    fresh = ls.insert_absent(index.known(rows), rows, "k")
+    assert "Exchange" not in fresh._jdf.queryExecution().executedPlan().toString() and fresh.count() == 3
+    assert no_rows(spark, ls.BRONZE_SCHEMA).collect() == [] and [f.dataType for f in no_rows(spark, ls.GOLD_SCHEMA).schema] == [
+        f.dataType for f in spark.createDataFrame([], ls.GOLD_SCHEMA).schema
+    ]
+    index.put(rows, 0)
+    assert [r.k for r in ls.insert_absent(index.known(rows, but=0), rows, "k").orderBy("k").collect()] == [None, "a", "b"]
+    assert [r.k for r in ls.insert_absent(index.known(rows), rows, "k").collect()] == [None]
