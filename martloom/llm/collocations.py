@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from martloom.llm.common import bound_batches
-from martloom.session import delete_path, materialize, path_exists, scratch_path
+from martloom.session import delete_path, materialize, no_rows, path_exists, scratch_path
 
 #: Shards of a cycle.
 SHARDS = 3
@@ -42,6 +42,8 @@ NO_LANG = "und"
 BUCKETS = 1 << 24
 #: Bytes of text that a task counts at once.
 HELD_BYTES = 8 << 20
+#: Files that a task writes side by side, and bytes of their row groups.
+OPEN_FILES, ROW_GROUP = 16, 32 << 20
 #: Rows of an Arrow batch on the way back.
 BATCH_OUT = 100_000
 
@@ -196,7 +198,22 @@ def _deal(docs: DataFrame, shards: int, path: str) -> None:
         F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.col("text").cast("binary").alias("text")
     )
     turn = F.monotonically_increasing_id() % shards + 1
-    rows.withColumn("shard", turn.cast("int")).write.partitionBy("shard").parquet(path)
+    _write_parts(rows.withColumn("shard", turn.cast("int")), "shard", path)
+
+
+def _write_parts(df: DataFrame, part: str, path: str) -> None:
+    """Write by a column of few values. A task keeps the file of each value open, so it need not sort its rows by the column.
+
+    Texts and phrases hardly repeat, so no dictionary of them is tried; small row groups bound what the open files hold.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, str(max(int(before), OPEN_FILES)))
+    try:
+        plain = {f"parquet.enable.dictionary#{c}": "false" for c in ("phrase", "text")}
+        df.write.options(**plain, **{"parquet.block.size": str(ROW_GROUP)}).partitionBy(part).parquet(path)
+    finally:
+        conf.set(name, before)
 
 
 def phrase_counts(
@@ -219,7 +236,7 @@ def phrase_counts(
     while step < shards or any(step < last[n] + shards for n in reached if last[n]):
         step += 1
         shard = f"{folder}/shard={(step - 1) % shards + 1}"
-        texts = spark.read.schema(text_schema).parquet(shard) if path_exists(spark, shard) else spark.createDataFrame([], text_schema)
+        texts = spark.read.schema(text_schema).parquet(shard) if path_exists(spark, shard) else no_rows(spark, text_schema)
         shared = spark.sparkContext.broadcast(reached)
         found = texts.mapInArrow(_counting(step, shards, longest, buckets, shared, held), _COUNTS).select(
             "lang", "words", F.col("phrase").cast("string").alias("phrase"), "since", "f", F.lit(None).cast("int").alias("reached")
@@ -233,7 +250,7 @@ def phrase_counts(
         state = merged.withColumn("reached", F.coalesce("reached", now)).withColumn("going", F.col("since") + (shards - 1) > step)
         # a phrase whose cycle is over leaves the scans; rare ones are forgotten
         path = scratch_path(spark, "phrases")
-        state.where("going OR reached IS NOT NULL OR words = 0").write.partitionBy("going").parquet(path)
+        _write_parts(state.where("going OR reached IS NOT NULL OR words = 0"), "going", path)
         shared.destroy()
         if paths:
             delete_path(spark, f"{paths[-1]}/going=true")
@@ -241,7 +258,7 @@ def phrase_counts(
         _mark(spark.read.schema(state_schema + ", going boolean").parquet(path), step, longest, buckets, reached, last)
     delete_path(spark, folder)
     done = [f"{p}/going=false" for p in paths if path_exists(spark, f"{p}/going=false")]
-    out = spark.read.schema(state_schema).parquet(*done) if done else spark.createDataFrame([], state_schema)
+    out = spark.read.schema(state_schema).parquet(*done) if done else no_rows(spark, state_schema)
     return out.select("lang", "words", "phrase", "f")
 
 

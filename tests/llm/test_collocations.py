@@ -115,6 +115,23 @@ def test_phrases_become_active_when_both_subphrases_are_frequent(spark, monkeypa
     assert {(r.phrase, r.f) for r in counts.collect()} == {("", 72), ("a", 24), ("b", 24), ("c", 24), ("a b", 24), ("c c", 12)}
 
 
+def test_phrases_and_texts_are_written_without_a_sort(spark, drawn, tmp_path, monkeypatch):
+    """The files of the values of a partition column are open side by side, and the session's setting is put back."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    seen, write = [], co._write_parts
+    monkeypatch.setattr(co, "_write_parts", lambda df, part, path: seen.append(part) or write(df, part, path))
+    counts = co.phrase_counts(frame(spark, drawn), shards=2, least=7)
+    assert set(seen) == {"shard", "going"} and counts.count() > 0 and spark.conf.get(name) == "0"
+    # both values turn up again and again in one task: one file each all the same, where a sorted write would sort
+    df = spark.range(1000, numPartitions=1).selectExpr("id % 2 AS part", "CAST(id AS STRING) AS phrase")
+    write(df, "part", str(tmp_path / "w"))
+    plans = [p for p in (spark.read.parquet(str(tmp_path / "w" / f"part={k}")).collect() for k in (0, 1))]
+    assert [len(p) for p in plans] == [500, 500] and [r.phrase for r in plans[1][:3]] == ["1", "3", "5"]
+    with pytest.raises(Exception, match="EXISTS"):
+        write(df, "part", str(tmp_path / "w"))
+    assert spark.conf.get(name) == "0"
+
+
 def test_counter_falls_back_on_rows_where_codes_would_not_fit():
     columns = [np.array([5, 5, 1]), np.array([2, 2, 9])]
     small, n = co._distinct(columns, 10)
