@@ -222,3 +222,68 @@ def test_an_index_without_entries_costs_no_shuffle(spark, tmp_path):
     index.put(rows, 0)
     assert [r.k for r in ls.insert_absent(index.known(rows, but=0), rows, "k").orderBy("k").collect()] == [None, "a", "b"]
     assert [r.k for r in ls.insert_absent(index.known(rows), rows, "k").collect()] == [None]
+
+
+def many_days(n):
+    return [event(i, f"o{i}", i * 1440 + i % 3, 10.0 + i, customer=("c1", "c2", None)[i % 3], channel=("web", "store")[i % 2]) for i in range(n)]
+
+
+def test_a_batch_of_many_days_writes_one_folder_for_each_and_reads_its_rows_three_times(spark, tmp_path, monkeypatch):
+    landing, root = str(tmp_path / "in"), str(tmp_path / "m")
+    land(frame(spark, many_days(40)).coalesce(1), landing)
+    taken, whole = [], managed.fold_minutes
+
+    def counted(session, place, batch, batch_id):
+        taken.append((batch.columns, session.sparkContext.accumulator(0)))
+
+        def seen(rows):
+            for part in rows:
+                taken[-1][1].add(part.num_rows)
+                yield part
+
+        whole(session, place, batch.mapInArrow(seen, batch.schema), batch_id)
+
+    monkeypatch.setattr(managed, "fold_minutes", counted)
+    kpis = managed.run(spark, landing, root)
+    silver = spark.read.schema(managed._silver_schema()).parquet(f"{root}/orders_silver_stream")
+    want = managed.live_sales_minute(silver)
+    assert sorted(map(str, kpis.select(want.columns).collect())) == sorted(map(str, want.collect())) and kpis.count() == 40
+    # one folder for each day that has known customers: no folders within it
+    folders = {os.path.dirname(f) for f in glob.glob(f"{root}/{ls.CUSTOMERS}/**/*.parquet", recursive=True)}
+    assert len(folders) == 27 and {os.path.dirname(f) for f in folders} == {f"{root}/{ls.CUSTOMERS}"}
+    (columns, rows), = taken
+    assert set(columns) == set(managed.KPI_COLUMNS) and rows.value <= 3 * 40
+
+
+def test_counts_in_eight_folders_for_each_day_are_adopted(spark, tmp_path, monkeypatch):
+    landing, root = str(tmp_path / "in"), str(tmp_path / "m")
+    land(frame(spark, many_days(6)), landing)
+    managed.run(spark, landing, root)
+    counts = spark.read.schema(ls.CUSTOMER_SCHEMA).parquet(f"{root}/{ls.CUSTOMERS}")
+    bucket = F.pmod(F.xxhash64("event_minute", "channel"), F.lit(8)).cast("int")
+    counts.withColumn("kpi_bucket", bucket).write.partitionBy("event_slot", "kpi_bucket").parquet(f"{root}/customers")
+    ls.delete_path(spark, f"{root}/{ls.CUSTOMERS}")
+    late = [event(90, "o90", 0, customer="c1"), event(91, "o91", 0, customer="c9"), event(92, "o92", 9 * 1440)]
+    land(frame(spark, late), landing)
+    # the copy is made and the old folders are not yet gone
+    with monkeypatch.context() as broken:
+        broken.setattr(ls, "delete_path", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            managed.run(spark, landing, root)
+    kpis = managed.run(spark, landing, root)
+    want = managed.live_sales_minute(spark.read.schema(managed._silver_schema()).parquet(f"{root}/orders_silver_stream"))
+    assert sorted(map(str, kpis.select(want.columns).collect())) == sorted(map(str, want.collect())) and kpis.count() == 7
+    assert not os.path.exists(f"{root}/customers")
+
+
+def test_a_batch_without_rows_changes_nothing(spark, tmp_path):
+    none = no_rows(spark, managed._silver_schema())
+    managed.fold_minutes(spark, str(tmp_path), none, 0)
+    assert os.listdir(tmp_path) == []
+
+
+def test_parts_that_exist(spark, tmp_path):
+    root = str(tmp_path / "t")
+    assert key_index.existing_parts(spark, root, ["p=1"]) == []
+    key_index.write_parts(keys(spark, "a", "b").withColumn("p", F.col("k")), root, "p")
+    assert key_index.existing_parts(spark, root, ["p=b", "p=c", "p=a"]) == [f"{root}/p=b", f"{root}/p=a"]
