@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+from contextlib import nullcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -203,3 +205,80 @@ def test_references_to_orders_come_from_the_ledger(spark, t, monkeypatch):
     for name, (tables, numbers) in expected.items():
         got = counts(spark, tables, alone + ledger)
         assert [got[r] for r in ("QR011", "QR015", "QR018")] == numbers == [wanted[name][r.rule_id] for r in alone]
+
+
+def shuffled_mb(spark):
+    """Shuffle files on disk."""
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    files = [os.path.join(at, f) for folder in folders for at, _, names in os.walk(folder) for f in names if f.startswith("shuffle_")]
+    return sum(os.path.getsize(f) for f in files if os.path.exists(f)) / 1e6
+
+
+@pytest.fixture()
+def wide(spark, tmp_path):
+    """20,000 shipments of 5000 orders with about 10 MB of text, and settings that shuffle every join."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = F.concat(*[F.sha2(F.concat(F.lit(k), F.col("id").cast("string")), 512) for k in ("a", "b", "c", "d")])
+    cancelled = F.when(F.col("id") % 40 == 7, "Cancelled").otherwise("Completed")
+    orders = spark.range(5000).select(F.col("id").alias("order_id"), cancelled.alias("status"))
+    shipments = spark.range(20000).select(F.col("id").alias("shipment_id"), (F.col("id") % 5000).alias("order_id"), text.alias("note"))
+    for name, df in {"orders": orders, "shipments": shipments}.items():  # files, so that no join is derived from formulas
+        df.write.parquet(f"{tmp_path}/{name}")
+    t = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in ("orders", "shipments")}
+    yield {**t, **{x: t["orders"].limit(0) for x in ("payments", "returns")}}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def direct_texts(t, rule, n=10):
+    texts = q.violating_rows(t, rule, AS_OF).select(F.substring(F.to_json(F.struct("*")), 1, 500).alias("x"))
+    return [r.x for r in texts.orderBy("x").limit(n).collect()]
+
+
+def test_samples_shuffle_keys_and_no_whole_rows(spark, wide, monkeypatch):
+    monkeypatch.setattr(q, "freed_shuffles", lambda spark: nullcontext())
+    chosen, at = rules("QR029"), shuffled_mb(spark)
+    results, _ = q.run_rules(spark, wide, AS_OF, "r", AT, chosen)
+    results = spark.createDataFrame(results.collect(), results.schema)
+    counted = shuffled_mb(spark)
+    got = [r.failing_value for r in q.failure_samples(spark, wide, results, AS_OF, AT, chosen).collect()]
+    assert counted > at and shuffled_mb(spark) - counted < 3  # 4096 of 20,000 rows are tried; all of them are 10 MB
+    assert got == direct_texts(wide, chosen[0]) and len(got) == 10
+    counted = shuffled_mb(spark)
+    assert q.smallest_texts(spark, wide, chosen[0], AS_OF, 10, tried=3) == got  # too few: by keys and leads
+    assert shuffled_mb(spark) - counted < 2
+
+
+def test_counts_and_samples_leave_no_shuffles(spark, wide):
+    at = shuffled_mb(spark)
+    results, _ = q.run_rules(spark, wide, AS_OF, "r", AT, rules("QR029", "QR015"))
+    results = spark.createDataFrame(results.collect(), results.schema)
+    assert q.failure_samples(spark, wide, results, AS_OF, AT, rules("QR029")).count() == 10
+    assert shuffled_mb(spark) - at < 1  # the rows that were tried, not 10 MB
+
+
+def test_samples_are_the_same_however_few_rows_are_tried(spark):
+    """Nulls, keys and rows that come twice, keys of different lengths, and names that need quoting."""
+    def df(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    n = range(60)
+    orders = [(None if k % 11 == 0 else str(k % 45), f"c{k % 7}", "Cancelled" if k % 4 else "Returned", float(k), 1.0) for k in n]
+    t = {
+        "orders": df(orders, "order_id string, customer_id string, status string, order_total double, discount_amount double"),
+        "order_items": df([(str(k % 50), f"p{k % 9}", 1.0 * k, 0.1) for k in n],
+                          "order_id string, product_id string, line_total double, discount_pct double"),
+        "shipments": df([(f"{{s{k}}}", None if k % 7 == 0 else str(k), None) for k in n], "`ship``ment.id` string, order_id string, note string"),
+        "returns": df([(None if k % 3 else f"r{k}", str(k % 13) if k % 5 else None, f"p{k % 4}", "Approved", "2024-09-01") for k in n],
+                      "return_id string, order_id string, product_id string, status string, return_date string"),
+        "payments": df([(str(k), None if k % 2 else "Completed") for k in n], "order_id string, status string"),
+        "customers": df([(f"c{k % 3 + 1}", f"x{k}") for k in range(5)] + [(None, "y")] * 3, "customer_id string, email string"),
+        "product_reviews": df([(f"v{k}", f"c{k % 5}", f"p{k % 6}", k % 2 == 0) for k in n],
+                              "review_id string, customer_id string, product_id string, verified_purchase boolean"),
+    }
+    t["orders"] = t["orders"].withColumn("order_date", F.lit("2024-05-01"))
+    ids = ("QR001", "QR005", "QR011", "QR015", "QR018", "QR025", "QR026", "QR028", "QR029", "QR030", "QR031", "QR032", "QR033", "QR036")
+    for rule in rules(*ids):
+        want = direct_texts(t, rule, 7)
+        for tried in (2, 4096) if rule.rule_id in ("QR001", "QR028", "QR036") else (2,):
+            assert q.smallest_texts(spark, t, rule, AS_OF, 7, tried) == want, (rule.rule_id, tried)
